@@ -109,10 +109,20 @@ def spaced_tokens(text: Column) -> Column:
     return F.concat(F.lit(" "), body, F.lit(" "))
 
 
-def _shingle_hashes(toks: Column, width: int) -> Column:
-    n = F.size(toks) - F.lit(width - 1)
-    starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(toks, i, F.lit(width)), " ")))
+def _shingles(rows: DataFrame, id_col: str, widths: list[int], own: bool) -> DataFrame:
+    """(id, w, h): the hash of every run of w words, for each width.
+
+    The position is exploded, not the words, so the hash is computed in the generated
+    code of the scan stage. ``own`` keeps a row to its own width in column ``_w``.
+    """
+    out = None
+    for w in widths:
+        n = F.size("_t") - F.lit(w - 1)
+        fits = rows.filter((n > 0) & (F.col("_w") == w if own else F.lit(True)))
+        at = fits.select(id_col, "_t", F.explode(F.sequence(F.lit(1), n)).alias("_i"))
+        one = at.select(id_col, F.lit(w).alias("w"), F.xxhash64(F.slice("_t", F.col("_i"), F.lit(w))).alias("h"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def contained_passages(docs: DataFrame, passages: DataFrame, doc_id: str, item_id: str,
@@ -120,7 +130,7 @@ def contained_passages(docs: DataFrame, passages: DataFrame, doc_id: str, item_i
     """(doc_id, item_id) where the document's words contain the passage's in a row.
 
     Every occurrence includes every shingle of the passage, so each passage is looked
-    up by one shingle only: the one in the fewest documents. Documents stream past the
+    up by one shingle only: its rarest. Documents stream past the
     anchors (hash join), and each candidate is then verified against the whole texts.
     Passages shorter than ``width`` use their own length as shingle width.
     """
@@ -133,20 +143,9 @@ def contained_passages(docs: DataFrame, passages: DataFrame, doc_id: str, item_i
     widths = sorted(r[0] for r in items.select("_w").distinct().collect())
     texts = words_of(docs, doc_id)
 
-    def hashes(df, id_col, only_own_width):
-        arrays = []
-        for w in widths:
-            hs = F.transform(_shingle_hashes(F.col("_t"), w), lambda h, w=w: F.struct(
-                F.lit(w).alias("w"), h.alias("h")))
-            if only_own_width:
-                hs = F.when(F.col("_w") == w, hs).otherwise(F.slice(hs, 1, 0))
-            arrays.append(hs)
-        if not arrays:
-            return df.select(id_col, F.lit(0).alias("w"), F.lit(0).cast("long").alias("h")).limit(0)
-        return df.select(id_col, F.explode(F.array_distinct(F.concat(*arrays))).alias("s")).select(
-            id_col, "s.w", "s.h")
-
-    doc_sh, item_sh = hashes(texts, doc_id, False), hashes(items, item_id, True)
+    if not widths:
+        return docs.select(doc_id).join(passages.select(item_id).limit(0))
+    doc_sh, item_sh = _shingles(texts, doc_id, widths, False), _shingles(items, item_id, widths, True)
     wanted = item_sh.select("w", "h").distinct()
     if small_enough(wanted, limit):
         seen = doc_sh.join(F.broadcast(wanted), ["w", "h"], "left_semi")
@@ -160,7 +159,7 @@ def contained_passages(docs: DataFrame, passages: DataFrame, doc_id: str, item_i
         .groupBy(item_id).agg(F.min(F.struct("df", "w", "h")).alias("a"))
         .select(item_id, "a.w", "a.h"))
     few = F.broadcast(anchors) if small_enough(anchors, limit) else anchors
-    pairs = cut_lineage(doc_sh.join(few, ["w", "h"]).select(doc_id, item_id))
+    pairs = cut_lineage(doc_sh.join(few, ["w", "h"]).select(doc_id, item_id).distinct())
     near = F.broadcast(pairs) if small_enough(pairs, limit) else pairs
     return (texts.select(doc_id, F.col("_s").alias("_doc")).join(near, doc_id)
             .join(items.select(item_id, F.col("_s").alias("_item")), item_id)
