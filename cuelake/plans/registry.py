@@ -22,5 +22,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load_all() -> None:
     """Import the query modules, which register themselves."""
-    from cuelake.plans import (aggregate_queries, join_queries, order_queries,  # noqa: F401
-                               source_queries, text_queries)
+    from cuelake.plans import (aggregate_queries, job_queries, join_queries, order_queries,  # noqa: F401
+                               source_queries, stream_queries, text_queries)

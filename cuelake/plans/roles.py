@@ -105,11 +105,15 @@ KNOWN_LABELS = [str(i) for i in range(OOD_FROM)]
 ALL_LABELS = KNOWN_LABELS + ["none"]
 
 
-def event_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_event_predictions(events: DataFrame) -> DataFrame:
     """The event log as logged predictions: ts, intent, conf, ms."""
     conf = F.round(uniform(draw_hash(3, F.col("event_id")), 0), DECIMALS)
-    return table(spark, sf_dir, "events").select(
-        "event_id", "ts", F.col("event_type").alias("intent"), conf.alias("conf"), F.col("value").alias("ms"))
+    return events.select("event_id", "ts", F.col("event_type").alias("intent"), conf.alias("conf"),
+                         F.col("value").alias("ms"))
+
+
+def event_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_event_predictions(table(spark, sf_dir, "events"))
 
 
 # --- the same roles in SQL ------------------------------------------------------------

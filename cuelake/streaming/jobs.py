@@ -25,14 +25,19 @@ def redact_stream(stream: DataFrame, text: str = "text") -> DataFrame:
         "redacted", F.lit(True)).filter(F.col(text) != "")
 
 
-def dedup_stream(stream: DataFrame, ts: str, watermark: str = "1 day", text: str = "text") -> DataFrame:
+def dedup_stream(stream: DataFrame, ts: str, watermark: str = "1 day", text: str = "text",
+                 salts: int = 32) -> DataFrame:
     """First arrival per ingest key; state older than the watermark is dropped.
 
+    Two rounds: per (key, salt), then per key. A key that floods the stream is thinned to
+    ``salts`` rows spread over as many state partitions before its single owner sees it.
     A key may come back after its state has expired; the idempotent append catches it.
     """
     keyed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withColumn(
-        "key", K.digest(K.key_redacted(F.col(text))))
-    return keyed.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["key"])
+        "key", K.digest(K.key_redacted(F.col(text)))).withColumn(
+        "_salt", F.pmod(F.xxhash64(ts), F.lit(salts)))
+    thinned = keyed.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["key", "_salt"])
+    return thinned.dropDuplicatesWithinWatermark(["key"]).drop("_salt")
 
 
 def filter_leaks_stream(stream: DataFrame, evals: DataFrame, text: str = "text",
