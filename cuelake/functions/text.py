@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from cuelake.functions.vectors import let
+
 # The redaction vocabulary, patterns and masks.
 SECRET_WORDS = [
     "password", "passcode", "pin", "ssn", "secret", "token",
@@ -101,5 +103,4 @@ def pair_up(toks: Column) -> Column:
 
 
 def unigrams_and_bigrams(c: Column) -> Column:
-    toks = tokens(c)
-    return F.concat(toks, pair_up(toks))
+    return let(tokens(c), lambda toks: F.concat(toks, pair_up(toks)))

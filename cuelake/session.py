@@ -23,6 +23,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                   app_name: str = "cuelake", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
+        # Local mode is one JVM: the driver's memory is all there is.
+        extra.setdefault("spark.driver.memory", "8g")
         builder = builder.master(master).config("spark.ui.enabled", "false").config(
             "spark.ui.showConsoleProgress", "false")
     for key, value in {**SETTINGS, **extra}.items():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 # A scan this small is not worth a shuffle to spread it.
-SPREAD_BYTES = 4 << 20
+SPREAD_BYTES = 1 << 20
 
 
 def spread_scan(df: DataFrame, key: str) -> DataFrame:
