@@ -42,10 +42,8 @@ def _with_attempt_text(tries: DataFrame, id_col: str, seed: int) -> DataFrame:
     drawn = tries.withColumns({n: draw_hash(seed, F.col(id_col), F.col("attempt"), i)
                                for i, n in enumerate(names)})
     h0, h1, h2, h3 = (F.col(n) for n in names)
-    chained = F.col("has_partners") & (uniform(h0, 0) < D.P_CHAIN)
-    text = F.when(chained, F.when(
-        F.col("partner").isNotNull(),
-        D.chain(F.col("text"), F.col("partner"), F.col("intent"), h1, h2))).otherwise(
+    text = F.when(F.col("has_partners") & (uniform(h0, 0) < D.P_CHAIN),
+                  D.chain(F.col("text"), F.col("partner"), F.col("intent"), h1, h2)).otherwise(
         D.variant(F.col("text"), h1, h2, h3))
     return drawn.withColumn("variant", text).drop(*names)
 
@@ -68,17 +66,18 @@ def augment(examples: DataFrame, holdout: DataFrame, id_col: str = "seq", seed:
     rows = paired.select(*plain.columns).unionByName(plain)
 
     tries = rows.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
-    own = K.digest(K.key_loose(F.col("text")))
-    cands = (_with_attempt_text(tries, id_col, seed)
-             .select(id_col, "attempt", own.alias("_own"), K.key_loose(F.col("variant")).alias("_key"))
-             .filter(F.col("_key") != "")
-             .select(id_col, "attempt", "_own", K.digest(F.col("_key")).alias("_key"))
-             .filter(F.col("_key") != F.col("_own")).drop("_own"))
+    keyed = _with_attempt_text(tries, id_col, seed).select(
+        F.col(id_col).cast("long").alias(id_col), "attempt", K.key_loose(F.col("text")).alias("_own"),
+        K.key_loose(F.col("variant")).alias("_loose"))
+    # Unusable attempts share the NULL key and leave after the aggregate: a filter here
+    # would be pushed down and build every variant a second time.
+    usable = (F.col("_loose") != "") & (F.col("_loose") != F.col("_own"))
+    cands = keyed.select(id_col, "attempt", F.when(usable, K.digest(F.col("_loose"))).alias("_key"))
     blocked = holdout.select(F.lit(-1).cast("long").alias(id_col), F.lit(0).alias("attempt"),
                              K.digest(K.key_loose(F.col("text"))).alias("_key"))
-    owners = (cands.withColumn(id_col, F.col(id_col).cast("long")).unionByName(blocked)
-              .groupBy("_key").agg(F.min(F.struct(id_col, "attempt")).alias("_o"))
-              .select("_o.*").filter(F.col(id_col) >= 0))
+    owners = (cands.unionByName(blocked).groupBy("_key")
+              .agg(F.min(F.struct(id_col, "attempt")).alias("_o"), F.count("_key").alias("_n"))
+              .filter("_n > 0").select("_o.*").filter(F.col(id_col) >= 0))
     # At most ``attempts`` entries per row, so the array is small.
     kept = owners.groupBy(id_col).agg(F.array_sort(F.collect_list("attempt")).alias("_a"))
     kept = kept.select(id_col, F.slice("_a", 1, per_row).alias("_a"))

@@ -136,9 +136,9 @@ def contained_passages(docs: DataFrame, passages: DataFrame, doc_id: str, item_i
     """
     def words_of(df, id_col):
         return df.select(id_col, spaced_tokens(F.col("text")).alias("_s")).withColumn(
-            "_t", F.filter(F.split(F.trim("_s"), " "), lambda w: w != ""))
+            "_t", F.split(F.trim("_s"), " "))
 
-    items = words_of(passages, item_id).filter(F.size("_t") > 0).withColumn(
+    items = words_of(passages, item_id).filter(F.trim("_s") != "").withColumn(
         "_w", F.least(F.size("_t"), F.lit(width)))
     widths = sorted(r[0] for r in items.select("_w").distinct().collect())
     texts = words_of(docs, doc_id)

@@ -65,56 +65,66 @@ def _span(u: Column, low: int, high: int) -> Column:
     return pick_index(u, high - low + 1) + low
 
 
-def _draw(seed: int, row: Column, *salt) -> Column:
-    return draw_hash(seed, row, *salt)
+SALAD_BLOCKS, WORDS_MAX = 6, 6
 
 
-def gibberish(seed: int, row: Column) -> Column:
+def _hash_plan() -> dict[str, list[tuple]]:
+    """Per family, the salts of the draw hashes its text is built from, in order."""
+    words = [("word", w) for w in range(1, WORDS_MAX + 1)]
+    syllables = [("syllable", w, half) for w in range(1, WORDS_MAX + 1) for half in (1, 2)]
+    return {"gibberish": [("gibberish",), *words, *syllables],
+            "salad": [("salad",), *[("char", i) for i in range(SALAD_BLOCKS)]],
+            "numbers": [("numbers",), ("more",)]}
+
+
+def gibberish(h: list[Column]) -> Column:
     """Two to six made-up words of one to three consonant-vowel syllables."""
     def word(w):
-        head = _draw(seed, row, "word", w)
-        def syllable(s):
-            h = _draw(seed, row, "syllable", w, s)
-            return F.concat(_char(uniform(h, 0), CONSONANTS), _char(uniform(h, 1), VOWELS))
-        body = F.array_join(F.transform(F.sequence(F.lit(1), _span(uniform(head, 0), 1, 3)), syllable), "")
+        head, first, second = h[w], h[WORDS_MAX + 2 * w - 1], h[WORDS_MAX + 2 * w]
+        pairs = [(first, 0), (first, 2), (second, 0)]
+        syllables = [F.concat(_char(uniform(x, i), CONSONANTS), _char(uniform(x, i + 1), VOWELS)) for x, i in pairs]
+        n = _span(uniform(head, 0), 1, 3)
         coda = F.when(uniform(head, 1) < P_CODA, _char(uniform(head, 2), CONSONANTS)).otherwise("")
-        return F.concat(body, coda)
-    n = _span(uniform(_draw(seed, row, "gibberish"), 0), 2, 6)
-    return F.array_join(F.transform(F.sequence(F.lit(1), n), word), " ")
+        return F.concat(syllables[0], F.when(n >= 2, syllables[1]).otherwise(""),
+                        F.when(n >= 3, syllables[2]).otherwise(""), coda)
+    n = _span(uniform(h[0], 0), 2, WORDS_MAX)
+    return F.concat_ws(" ", *[F.when(n >= w, word(w)) for w in range(1, WORDS_MAX + 1)])
 
 
-def salad(seed: int, row: Column) -> Column:
+def salad(h: list[Column]) -> Column:
     """Eight to twenty-four characters, blanks included, then stripped."""
-    n = _span(uniform(_draw(seed, row, "salad"), 0), 8, 24)
-    chars = F.transform(F.sequence(F.lit(1), n),
-                        lambda i: _char(uniform(_draw(seed, row, "char", i), 0), SALAD))
-    return F.trim(F.array_join(chars, ""))
+    chars = [_char(uniform(x, i), SALAD) for x in h[1:] for i in range(4)]
+    return F.trim(F.substr(F.concat(*chars), F.lit(1), _span(uniform(h[0], 0), 8, 4 * SALAD_BLOCKS)))
 
 
-def numbers(seed: int, row: Column) -> Column:
+def numbers(h: list[Column]) -> Column:
     """Two to five integers below 10,000."""
-    n = _span(uniform(_draw(seed, row, "numbers"), 0), 2, 5)
-    parts = F.transform(F.sequence(F.lit(1), n), lambda i: _span(
-        uniform(_draw(seed, row, "number", i), 0), 0, 9999).cast("string"))
-    return F.array_join(parts, " ")
+    draws = [(h[0], 1), (h[0], 2), (h[0], 3), (h[1], 0), (h[1], 1)]
+    n = _span(uniform(h[0], 0), 2, 5)
+    parts = [_span(uniform(x, i), 0, 9999).cast("string") for x, i in draws]
+    return F.concat_ws(" ", *[F.when(n > at, part) for at, part in enumerate(parts)])
 
 
 def generate(seeds: DataFrame, id_col: str, seed: int = 11,
              weights: dict[str, int] = FAMILY_WEIGHTS) -> DataFrame:
-    """(id, family, text): one generated row per seed row."""
+    """(id, family, text): one generated row per seed row.
+
+    A row's hashes are columns of their own, so each is computed once and only for the
+    family that uses it, and the text is a flat expression over them.
+    """
     makers = {"gibberish": gibberish, "salad": salad, "numbers": numbers}
-    total = sum(weights.values())
-    at = uniform(_draw(seed, F.col(id_col), "family"), 0) * F.lit(float(total))
-    family, bound = None, 0
+    row = F.col(id_col)
+    at = uniform(draw_hash(seed, row, "family"), 0) * F.lit(float(sum(weights.values())))
+    family, text, bound, hashes = F.when(F.lit(False), ""), F.when(F.lit(False), ""), 0, {}
     for name, weight in weights.items():
         bound += weight
-        family = (F.when(at < bound, name) if family is None else family.when(at < bound, name))
-    rows = seeds.select(F.col(id_col), family.alias("family"))
-    text = None
-    for name in weights:
-        made = makers[name](seed, F.col(id_col))
-        text = F.when(F.col("family") == name, made) if text is None else text.when(F.col("family") == name, made)
-    return rows.withColumn("text", text)
+        family = family.when(at < bound, name)
+        names = [f"_{name}{i}" for i in range(len(_hash_plan()[name]))]
+        hashes |= {n: F.when(F.col("family") == name, draw_hash(seed, row, *salt))
+                   for n, salt in zip(names, _hash_plan()[name])}
+        text = text.when(F.col("family") == name, makers[name]([F.col(n) for n in names]))
+    rows = seeds.select(row, family.alias("family")).withColumns(hashes)
+    return rows.select(id_col, "family", text.alias("text"))
 
 
 def fixed_rows(spark: SparkSession) -> DataFrame:
@@ -131,8 +141,11 @@ def make_ood(seeds: DataFrame, id_col: str, probe: DataFrame, seed: int = 11,
     """
     made = generate(seeds, id_col, seed, weights).withColumnRenamed(id_col, "id")
     every = made.unionByName(fixed_rows(seeds.sparkSession))
-    first = (every.filter(~T.is_blank(F.col("text"))).groupBy("text")
-             .agg(F.min(F.struct("id", "family")).alias("o")).select("o.*", "text"))
+    # Blank texts leave after the aggregate, where the filter cannot be pushed into the
+    # generator and make it build every text twice.
+    first = (every.groupBy("text")
+             .agg(F.min(F.struct("id", "family")).alias("o"), F.bool_or(~T.is_blank(F.col("text"))).alias("said"))
+             .filter("said").select("o.*", "text"))
     keyed = first.withColumn("_key", K.digest(K.key_leak(F.col("text"))))
     block = probe.select(K.digest(K.key_leak(F.col("text"))).alias("_key"))
     clean = exclude_keys(keyed, block, "_key", spread=F.col("id")).drop("_key")

@@ -9,8 +9,9 @@ from cuelake.operators.skew import attach_per_key
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-    """(id, term, tf). A document sits in one task, so its repeats combine map-side."""
-    grams = docs.select(id_col, F.explode(T.unigrams_and_bigrams(F.col(text_col))).alias("term"))
+    """(id, term, tf). Documents are hashed by id before their terms are exploded: the
+    text is smaller than its terms, and counting then needs no further shuffle."""
+    grams = docs.select(id_col, text_col).repartition(id_col).select(id_col, F.explode(T.unigrams_and_bigrams(F.col(text_col))).alias("term"))
     return grams.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

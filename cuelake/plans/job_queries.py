@@ -97,20 +97,25 @@ def _span(u, low, high):
 
 def _ood_sql():
     u = R.u_sql
-    syl = _d("'syllable'", "w", "s")
-    word = _d("'word'", "w")
-    word_text = (f"array_to_string(list_transform(range(1, {_span(u(word, 0), 1, 3)} + 1), lambda s: "
-                 f"{_ch(u(syl, 0), G.CONSONANTS)} || {_ch(u(syl, 1), G.VOWELS)}), '') || "
-                 f"CASE WHEN {u(word, 1)} < {G.P_CODA} THEN {_ch(u(word, 2), G.CONSONANTS)} ELSE '' END")
-    total = sum(G.FAMILY_WEIGHTS.values())
-    at = f"{u(_d(chr(39) + 'family' + chr(39)), 0)} * {float(total)}::DOUBLE"
+    def h(*salt):
+        return _d(*[f"'{x}'" for x in salt])
+    def word(w):
+        head, first, second = h("word", w), h("syllable", w, 1), h("syllable", w, 2)
+        syl = [f"{_ch(u(x, i), G.CONSONANTS)} || {_ch(u(x, i + 1), G.VOWELS)}" for x, i in ((first, 0), (first, 2), (second, 0))]
+        n = _span(u(head, 0), 1, 3)
+        return (f"{syl[0]} || CASE WHEN {n} >= 2 THEN {syl[1]} ELSE '' END || CASE WHEN {n} >= 3 THEN {syl[2]} ELSE '' END || "
+                f"CASE WHEN {u(head, 1)} < {G.P_CODA} THEN {_ch(u(head, 2), G.CONSONANTS)} ELSE '' END")
+    n_words, n_chars, n_nums = _span(u(h("gibberish"), 0), 2, 6), _span(u(h("salad"), 0), 8, 24), _span(u(h("numbers"), 0), 2, 5)
+    words = ", ".join(f"CASE WHEN {n_words} >= {w} THEN {word(w)} END" for w in range(1, 7))
+    chars = " || ".join(_ch(u(h("char", b), i), G.SALAD) for b in range(6) for i in range(4))
+    nums = ", ".join(f"CASE WHEN {n_nums} > {at} THEN CAST({_span(u(x, i), 0, 9999)} AS VARCHAR) END" for at, (x, i) in enumerate(
+        [(h("numbers"), 1), (h("numbers"), 2), (h("numbers"), 3), (h("more"), 0), (h("more"), 1)]))
+    at = f"{u(h('family'), 0)} * {float(sum(G.FAMILY_WEIGHTS.values()))}::DOUBLE"
     fixed = R.list_sql(G.FIXED_TEXTS)
     return f"""
 WITH f AS (SELECT event_id, CASE WHEN {at} < 150 THEN 'gibberish' WHEN {at} < 230 THEN 'salad' ELSE 'numbers' END AS family FROM events),
-made AS (SELECT event_id AS id, family, CASE family
-  WHEN 'gibberish' THEN array_to_string(list_transform(range(1, {_span(u(_d("'gibberish'"), 0), 2, 6)} + 1), lambda w: {word_text}), ' ')
-  WHEN 'salad' THEN trim(array_to_string(list_transform(range(1, {_span(u(_d("'salad'"), 0), 8, 24)} + 1), lambda i: {_ch(u(_d("'char'", "i"), 0), G.SALAD)}), ''))
-  ELSE array_to_string(list_transform(range(1, {_span(u(_d("'numbers'"), 0), 2, 5)} + 1), lambda i: CAST({_span(u(_d("'number'", "i"), 0), 0, 9999)} AS VARCHAR)), ' ') END AS text FROM f),
+made AS (SELECT event_id AS id, family, CASE family WHEN 'gibberish' THEN concat_ws(' ', {words})
+  WHEN 'salad' THEN trim(substr({chars}, 1, {n_chars})) ELSE concat_ws(' ', {nums}) END AS text FROM f),
 every AS (SELECT * FROM made UNION ALL SELECT -i AS id, 'fixed', {fixed}[i] FROM (SELECT unnest(range(1, {len(G.FIXED_TEXTS) + 1})) AS i)),
 one AS (SELECT text, min(id) AS id, arg_min(family, id) AS family FROM every WHERE trim(text) <> '' GROUP BY text),
 clean AS (SELECT * FROM one WHERE {R.leak_sql('text')} NOT IN (SELECT {R.leak_sql('text')} FROM benchmark)),

@@ -21,7 +21,7 @@ GAIN = 20.0
 OOD_FROM = 8
 DECIMALS = 9
 # Text tables, whose per-row work is heavy, and the key they spread on if unsplittable.
-SCAN_KEYS = {"documents": "doc_id"}
+SCAN_KEYS = {"documents": "doc_id", "conversations": "conv_id", "events": "event_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

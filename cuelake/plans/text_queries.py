@@ -118,13 +118,14 @@ c3 AS (SELECT *, CASE WHEN partner IS NOT NULL AND intent IN ({', '.join(f"'{c}'
 @query("b13_insert_filler", f"{_DRAWN_SQL} SELECT seq, {_filler_sql('text', R.u_sql('h1', 1), R.u_sql('h1', 2))} AS out FROM d")
 def insert_filler(spark, sf):
     h = F.col("h1")
-    return _drawn(spark, sf).select("seq", D.insert_filler(F.col("text"), uniform(h, 1), uniform(h, 2)).alias("out"))
+    return _drawn(spark, sf).select("seq", D.insert_filler(
+        F.col("text"), T.words(F.col("text")), uniform(h, 1), uniform(h, 2)).alias("out"))
 
 
 @query("b14_stutter", f"{_DRAWN_SQL} SELECT seq, {_stutter_sql('text', R.u_sql('h1', 3), R.u_sql('h2', 0))} AS out FROM d")
 def stutter(spark, sf):
     return _drawn(spark, sf).select("seq", D.stutter(
-        F.col("text"), uniform(F.col("h1"), 3), uniform(F.col("h2"), 0)).alias("out"))
+        F.col("text"), T.words(F.col("text")), uniform(F.col("h1"), 3), uniform(F.col("h2"), 0)).alias("out"))
 
 
 @query("b15_prepend_hedge", f"{_DRAWN_SQL} SELECT seq, {_pick_sql(R.u_sql('h2', 3), D.HEDGES)} || ' ' || text AS out FROM d")
