@@ -70,15 +70,21 @@ def mask_secret_tail(c: Column) -> Column:
     """Keep the first secret word of each line and mask the rest of that line.
 
     The pattern runs only on texts with a hint of a secret word, found by plain search.
+    ``let`` keeps ``c`` to one mention, so a chain of masks does not multiply when the
+    optimizer inlines it.
     """
     words = "|".join(SECRET_WORDS)
-    masked = _replace(c, f"(?imdU){_WORD_START}({words}){_WORD_END}.*$", f"$1 {SECRET_MASK}")
-    maybe = _contains_any(F.lower(c), _SECRET_HINTS) | _contains_any(c, _FOLDED_LETTERS)
-    return F.when(maybe, masked).otherwise(c)
+    pattern = f"(?imdU){_WORD_START}({words}){_WORD_END}.*$"
+
+    def mask(x):
+        maybe = let(F.lower(x), lambda low: _contains_any(low, _SECRET_HINTS)) | _contains_any(x, _FOLDED_LETTERS)
+        return F.when(maybe, _replace(x, pattern, f"$1 {SECRET_MASK}")).otherwise(x)
+    return let(c, mask)
 
 
 def mask_email(c: Column) -> Column:
-    return F.when(F.contains(c, F.lit("@")), _replace(c, EMAIL_PATTERN, EMAIL_MASK)).otherwise(c)
+    return let(c, lambda x: F.when(
+        F.contains(x, F.lit("@")), _replace(x, EMAIL_PATTERN, EMAIL_MASK)).otherwise(x))
 
 
 def mask_digits(c: Column) -> Column:
