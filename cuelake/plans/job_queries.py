@@ -175,7 +175,7 @@ def head_fit(spark, sf):
 
 @query("h07_temperature_fit")
 def temperature_fit(spark, sf):
-    """Fitted T, with the loss around it: neighbours must not be better."""
+    """Fitted T, with the loss around it: neighbours inside [0.5, 20] are not better."""
     known = C.with_gold_index(R.scored(spark, sf).filter("suite = 'indist'"))
     fit = C.fit_temperature(known)
     around = C.nll_grid(known, [1.0, fit.optimum * 0.99, fit.optimum, fit.optimum * 1.01])

@@ -172,7 +172,7 @@ def manifest(spark, sf):
     lang = F.regexp_extract("path", "lang=([a-z]+)", 1)
     listed = actual.filter(lang != "de").select("path", F.when(lang == "fr", "0").otherwise(F.col("md5")).alias("md5"), "size")
     gone = per.select("source").distinct().select(
-        F.concat(F.lit("/source="), "source", F.lit("/lang=xx/part.txt")).alias("path"), F.lit("0").alias("md5"), F.lit(0).cast("long").alias("size"))
+        F.concat(F.lit("source="), "source", F.lit("/lang=xx/part.txt")).alias("path"), F.lit("0").alias("md5"), F.lit(0).cast("long").alias("size"))
     checked = MF.verify_manifest(actual, listed.unionByName(gone)).join(actual, "path", "left")
     return checked.select(F.regexp_extract("path", "source=([a-z0-9]+)", 1).alias("source"), lang.alias("lang"),
                           F.coalesce("md5", F.lit("")).alias("md5"), F.coalesce("size", F.lit(0)).alias("size"), "status")

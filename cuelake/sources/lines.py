@@ -92,7 +92,7 @@ def scan_labeled(spark: SparkSession, path: str | list[str],
 
 def load_labeled(spark: SparkSession, path: str | list[str],
                  labels: L.LabelSet = L.DEFAULT_LABELS, glob: str | None = None) -> DataFrame:
-    """Strict scan: the job fails on the first bad line, naming file and line."""
+    """Strict scan: the job fails when it meets a bad line, naming file and line."""
     lines = _parsed(number_lines(read_lines(spark, path, glob)), EXAMPLE_SCHEMA)
     bad = (~F.col("_object") | F.col(f"r.{CORRUPT}").isNotNull() | F.col("r.text").isNull()
            | ~L.is_valid(F.col("r.intent"), labels))
