@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cuelake.functions import labels as L
 from cuelake.operators.ranks import kth_values
+from cuelake.session import cut_lineage
 
 # Binning and thresholds of the published report.
 ECE_BINS = 10
@@ -63,9 +64,13 @@ def wilson(hits: Column, n: Column, z: float = 1.96) -> Column:
                     ((centre + margin) / (1 + z * z / n)).alias("high"))
 
 
-def class_counts(pred: DataFrame, labels: list[str], by: list[str] = []) -> DataFrame:
-    """tp, fp, fn per label (and group) from one aggregation over (gold, pred)."""
-    cells = pred.groupBy(*by, "gold", "pred").agg(_n().alias("n"))
+def class_counts(pred: DataFrame, labels: list[str], by: list[str] = [],
+                 weight: str | None = None) -> DataFrame:
+    """tp, fp, fn per label (and group) from one aggregation over (gold, pred).
+
+    ``weight`` names a count column when ``pred`` is already aggregated.
+    """
+    cells = pred.groupBy(*by, "gold", "pred").agg((F.sum(weight) if weight else _n()).alias("n"))
     sides = cells.select(*by, F.explode(F.array(
         F.struct(F.col("gold").alias("label"), F.when(F.col("gold") == F.col("pred"), F.col("n"))
                  .otherwise(0).alias("tp"), F.lit(0).cast("long").alias("fp"),
@@ -75,7 +80,7 @@ def class_counts(pred: DataFrame, labels: list[str], by: list[str] = []) -> Data
                  F.lit(0).cast("long").alias("fn")))).alias("s")).select(*by, "s.*")
     sums = sides.groupBy(*by, "label").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
     if by:
-        grid = pred.select(*by).distinct().withColumn("label", F.explode(F.array(*[F.lit(x) for x in labels])))
+        grid = cells.select(*by).distinct().withColumn("label", F.explode(F.array(*[F.lit(x) for x in labels])))
     else:
         grid = _values(pred, "label", labels)
     return grid.join(sums, [*by, "label"], "left").select(
@@ -83,13 +88,13 @@ def class_counts(pred: DataFrame, labels: list[str], by: list[str] = []) -> Data
 
 
 def class_report(pred: DataFrame, labels: list[str], by: list[str] = [],
-                 intervals: bool = False) -> DataFrame:
+                 intervals: bool = False, weight: str | None = None) -> DataFrame:
     """precision, recall, f1, support per label; an undefined ratio is 0."""
     zero = F.lit(0.0)
     p = F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fp")), zero)
     r = F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fn")), zero)
     f1 = F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), zero)
-    out = class_counts(pred, labels, by)
+    out = class_counts(pred, labels, by, weight)
     extra = [wilson(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision_ci"),
              wilson(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall_ci")] if intervals else []
     return out.select(*by, "label", p.alias("precision"), r.alias("recall"), f1.alias("f1"),
@@ -174,7 +179,7 @@ def deferral_curve(pred: DataFrame, population: str = "suite", points: int = CUR
     """Share (%) of each population with conf below each of the cut-offs."""
     b = _threshold_bucket(F.col("conf"), points, start, step)
     counts = pred.groupBy(population, b.alias("b")).agg(_n().alias("c"))
-    grid = (pred.select(population).distinct()
+    grid = (counts.select(population).distinct()
             .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(points)))))
     upto = W.partitionBy(population).orderBy("b").rowsBetween(W.unboundedPreceding, 0)
     whole = W.partitionBy(population)
@@ -202,7 +207,7 @@ def histogram(pred: DataFrame, population: str = "suite", bins: int = HIST_BINS)
     width = 1.0 / bins
     b = F.least(bin_of(F.col("conf"), bins, width), F.lit(bins - 1))
     counts = pred.groupBy(population, b.alias("bin")).agg(_n().alias("c"))
-    grid = (pred.select(population).distinct()
+    grid = (counts.select(population).distinct()
             .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))))
     n = F.sum("c").over(W.partitionBy(population))
     return (grid.join(counts, [population, "bin"], "left").withColumn("c", F.coalesce("c", F.lit(0)))
@@ -254,16 +259,24 @@ def evaluation_report(pred: DataFrame, labels: list[str], ood: DataFrame | None
         return df.select(*by, F.lit(metric).alias("metric"),
                          (F.lit("") if cls is None else F.col(cls)).alias("class"),
                          F.col(value).cast("double").alias("value"))
-    acc = accuracy(pred, by)
-    report = class_report(pred, labels, by)
+    # One pass over the predictions; every figure below reads this label- and bin-sized table.
+    cells = cut_lineage(
+        pred.withColumns({"bin": bin_of(F.col("conf"), ECE_BINS, 1.0 / ECE_BINS), "kept": F.col("conf") >= gate})
+        .groupBy(*by, "gold", "pred", "bin", "kept").agg(_n().alias("n"), F.sum("conf").alias("c")))
+    hits = F.col("n") * _correct()
+    overall = cells.groupBy(*by).agg(
+        F.sum("n").alias("n"), (F.sum(hits) / F.sum("n")).alias("accuracy"),
+        (F.sum(F.when(F.col("kept"), F.col("n")).otherwise(0)) / F.sum("n")).alias("kept_share"),
+        F.try_divide(F.sum(F.when(F.col("kept"), hits)), F.sum(F.when(F.col("kept"), F.col("n")))).alias("kept_accuracy"))
+    per_bin = cells.groupBy(*by, "bin").agg(F.sum("n").alias("n"), F.sum(hits).alias("ok"), F.sum("c").alias("c"))
+    gap = F.when(F.col("bin") < ECE_BINS, F.abs(F.col("ok") - F.col("c"))).otherwise(0.0)
+    error = per_bin.groupBy(*by).agg((F.sum(gap) / F.sum("n")).alias("ece"))
+    report = class_report(cells, labels, by, weight="n")
     averages = report_averages(report, by)
-    parts = [long(acc, "n", "n"), long(acc, "accuracy", "accuracy"), long(ece(pred, by), "ece", "ece")]
+    parts = [long(overall, m, m) for m in ("n", "accuracy", "kept_share", "kept_accuracy")]
+    parts += [long(error, "ece", "ece")]
     parts += [long(report, m, m, "label") for m in ("precision", "recall", "f1", "support")]
     parts += [long(averages, m, m) for m in ("macro_f1", "weighted_f1")]
-    kept = F.col("conf") >= gate
-    at_gate = pred.groupBy(*by).agg(F.avg(kept.cast("double")).alias("kept_share"),
-                                    F.avg(F.when(kept, _correct())).alias("kept_accuracy"))
-    parts += [long(at_gate, m, m) for m in ("kept_share", "kept_accuracy")]
     if ood is not None:
         deferred = ood.groupBy(*by).agg(F.avg((F.col("conf") < gate).cast("double")).alias("v"))
         parts.append(long(deferred, "ood_deferred_share", "v"))
