@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuelake.llm import exact_dedup, host_rules, mixing, secrets
+from cuelake.llm import exact_dedup, host_rules, language_crf, mixing, pieces, secrets
 from cuelake.llm.common import documents
 from cuelake.plans.registry import Query
 
@@ -45,3 +45,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.apply_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op2_language_crf")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_crf.train(docs.filter(~language_crf.held_out(docs)))
+    found = language_crf.predict(docs, model)
+    return found.select("doc_id", language_crf.held_out(found).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
+
+
+@query("op7_merge_dropout")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir), keep_ids=False).drop("ids")
