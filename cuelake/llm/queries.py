@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuelake.llm import exact_dedup, host_rules, language_crf, mixing, pieces, secrets
+from cuelake.llm import cotraining, exact_dedup, host_rules, language_crf, mixing, pieces, secrets
 from cuelake.llm.common import documents
 from cuelake.plans.registry import Query
 
@@ -58,3 +58,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_merge_dropout")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents(spark, sf_dir), keep_ids=False).drop("ids")
+
+
+@query("op6_cotrained_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = cotraining.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return cotraining.score(docs, model)
