@@ -221,26 +221,29 @@ def _shard_fit(held, turn: int):
     return fit
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_label: int = PER_LABEL,
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_label: int = PER_LABEL,
           shards: int = SHARDS, rounds: int = ROUNDS) -> Model | None:
-    """Fit on at most ``per_label`` documents of each label, chosen by hash of the text.
+    """Fit on at most ``per_label`` documents of each label, chosen by hash of the id.
 
     Whole documents are used. None when nothing is labelled.
     """
     spark = labelled.sparkSession
-    rows = labelled.select(labelled[label_col].cast("string").alias("label"), labelled[text_col].cast("string").alias("text")).filter(
-        "label IS NOT NULL AND text IS NOT NULL")
+    rows = labelled.select(labelled[id_col].alias("id"), labelled[label_col].cast("string").alias("label"),
+                           labelled[text_col].cast("string").alias("text")).filter("id IS NOT NULL AND label IS NOT NULL AND text IS NOT NULL")
     # Labels are a short list; beyond MAX_LABELS the most frequent are learned.
     counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LABELS).collect()
     labels = sorted(r["label"] for r in counts)
     if not labels:
         return None
+    # Ids are picked first, so that only the sample's texts move.
     picked = None
     for k, label in enumerate(labels):
-        part = (rows.filter(F.col("label") == label).orderBy(F.xxhash64("text"), "text").limit(per_label)
-                .select(F.lit(k).alias("label"), "text"))
+        part = (rows.filter(F.col("label") == label).select("id").orderBy(F.xxhash64("id"), "id").limit(per_label)
+                .select("id", F.lit(k).alias("k")))
         picked = part if picked is None else picked.unionByName(part)
-    sample = stored(picked.select("label", "text", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int").alias("shard")), "lid-sample")
+    picked = stored(picked, "lid-ids").dropDuplicates(["id"])
+    sample = rows.join(F.broadcast(picked), "id").dropDuplicates(["id"])  # at most per_label ids a label
+    sample = stored(sample.select(F.col("k").alias("label"), "text", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")), "lid-sample")
     words = sample.select("label", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0))).alias("w"))
     known = words.groupBy("w").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "w").limit(LEXICON).collect()
     lexicon = np.sort(word_hashes([r["w"] for r in known])) if known else np.zeros(0, np.uint64)

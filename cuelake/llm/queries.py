@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuelake.llm import cotraining, exact_dedup, host_rules, language_crf, mixing, pieces, secrets
+from cuelake.llm import cotraining, exact_dedup, host_rules, jaccard_join, language_crf, mixing, pieces, secrets
 from cuelake.llm.common import documents
 from cuelake.plans.registry import Query
 
@@ -65,3 +65,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = cotraining.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return cotraining.score(docs, model)
+
+
+@query("op1_jaccard_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir), n=3, pct=90)
