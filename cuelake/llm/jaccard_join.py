@@ -12,8 +12,8 @@ prefix (rare keys first), and descending key.
    meet the key's most central one; what that links is one component, and only pairs of
    different components that still share a key are compared afterwards. A large group of
    near copies therefore costs about one comparison per member.
-3. A pair must pass the filters of the ascending and the descending order before its
-   whole sets are intersected. Every pair not yet connected is decided exactly.
+3. A pair must pass the filter of the ascending order (its prefixes share at least ``l``
+   keys) and of the descending order before its whole sets are intersected. Every pair not yet connected is decided exactly.
 
 Equal sets are collapsed before anything is joined. Whole texts are tokenised twice (for
 prefixes, and for the sets of documents in some candidate); sets of other documents
@@ -29,8 +29,10 @@ from cuelake.llm.components import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Keys more than one prefix needs; the most frequent of them may then be dropped.
-SPARE = 16
+SPARE = 32
 CENTER_ROUNDS = 2
+# Ids that may be broadcast (8 bytes each).
+SMALL_IDS = 1_000_000
 
 
 def shingle_keys(text: Column, n: int) -> Column:
@@ -56,24 +58,39 @@ def _overlap(n: Column, pct: int) -> Column:
     return F.ceil(n * F.lit(pct) / F.lit(100)).cast("int")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """Links (a, b) among candidate pairs: both further orders agree, then the whole sets."""
-    left = sets.select(F.col("id").alias("a"), F.col("keys").alias("ka"))
-    right = sets.select(F.col("id").alias("b"), F.col("keys").alias("kb"))
-    both = pairs.join(left, "a").join(right, "b")
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is listed. A short list (counted, at most SMALL_IDS longs) is sent to
+    the rows; otherwise both sides are shuffled."""
+    ids = ids.select("id").distinct()
+    return rows.join(F.broadcast(ids) if ids.count() <= SMALL_IDS else ids, "id", "left_semi")
 
-    def head(k: str) -> Column:
-        n = F.size(k)
-        return F.slice(k, 1, n - _overlap(n, pct) + 1)
+
+def _both_ends(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b) with the column of either end as x and y."""
+    return (pairs.join(rows.select(F.col("id").alias("a"), F.col(column).alias("x")), "a")
+            .join(rows.select(F.col("id").alias("b"), F.col(column).alias("y")), "b"))
+
+
+def _verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFrame:
+    """Links (a, b) among candidate pairs.
+
+    The ascending order's filter needs only the prefixes: they share at least SPARE keys
+    (all a short set must share). What passes has its whole sets fetched for the
+    descending order's filter and the intersection.
+    """
+    spare = F.least(F.lit(SPARE), F.least(F.col("x.o"), F.col("y.o")))
+    passed = stored(_both_ends(pairs, heads, "head").filter(
+        F.size(F.array_intersect("x.prefix", "y.prefix")) >= spare).select("a", "b"), f"{name}-passed")
+    some = _only(sets, passed.select(F.explode(F.array("a", "b")).alias("id")))
 
     def tail(k: str) -> Column:
         n = F.size(k)
         return F.slice(k, _overlap(n, pct), n - _overlap(n, pct) + 1)
 
-    shared = F.size(F.array_intersect("ka", "kb"))
-    union = F.size("ka") + F.size("kb") - F.col("shared")
-    return (both.filter(F.arrays_overlap(head("ka"), head("kb")) & F.arrays_overlap(tail("ka"), tail("kb")))
-            .select("a", "b", "ka", "kb", shared.alias("shared")).filter(F.col("shared") * 100 >= union * pct).select("a", "b"))
+    both = _both_ends(passed, some, "keys").filter(F.arrays_overlap(tail("x"), tail("y")))
+    union = F.size("x") + F.size("y") - F.col("shared")
+    return (both.withColumn("shared", F.size(F.array_intersect("x", "y")))
+            .filter(F.col("shared") * 100 >= union * pct).select("a", "b"))
 
 
 def _size_fits(a: Column, b: Column, pct: int) -> Column:
@@ -112,9 +129,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = kept.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("key")
     kept = stored(kept.join(alone, "key"), f"{name}-meeting")
 
-    wanted = kept.select("id").distinct()
+    wanted = stored(kept.select("id").distinct(), f"{name}-ids")
     texts = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("text"))
-    sets = stored(texts.join(wanted, "id").select("id", shingle_keys(F.col("text"), n).alias("keys")), f"{name}-sets")
+    sets = stored(_only(texts, wanted).select("id", shingle_keys(F.col("text"), n).alias("keys")), f"{name}-sets")
+    heads = stored(_only(base.withColumnRenamed("doc_id", "id"), wanted).select(
+        "id", F.struct("prefix", _overlap(F.col("n"), pct).alias("o")).alias("head")), f"{name}-heads")
 
     links, comps, tried = None, None, None
     for turn in range(CENTER_ROUNDS + 1):
@@ -139,7 +158,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, f"{name}-pairs{turn}")
         if not pairs.isEmpty():
-            found = stored(_verified(pairs, sets, pct), f"{name}-links{turn}")
+            found = stored(_verified(pairs, heads, sets, pct, f"{name}{turn}"), f"{name}-links{turn}")
             links = found if links is None else links.unionByName(found)
             comps = stored(components(links, f"{name}-cc{turn}"), f"{name}-comps{turn}")
         tried = pairs if tried is None else tried.unionByName(pairs)
