@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuelake.llm import cotraining, exact_dedup, host_rules, jaccard_join, language_crf, mixing, pieces, secrets
+from cuelake.llm import (cotraining, exact_dedup, host_rules, jaccard_join, language_crf, mixing, pieces, secrets,
+                         substring_dedup)
 from cuelake.llm.common import documents
 from cuelake.plans.registry import Query
 
@@ -70,3 +71,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_jaccard_join")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir), n=3, pct=90)
+
+
+@query("op5_column_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir))
