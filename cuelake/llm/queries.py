@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuelake.llm import (cotraining, exact_dedup, host_rules, jaccard_join, language_crf, mixing, pieces, secrets,
+from cuelake.llm import (cotraining, exact_dedup, host_rules, jaccard_join, language_crf, mixing, pieces, quotes, secrets,
                          substring_dedup)
 from cuelake.llm.common import documents
 from cuelake.plans.registry import Query
@@ -76,3 +76,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_column_suffix_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir))
+
+
+@query("op9_quotation_linking")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.digest(quotes.link(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
