@@ -96,14 +96,16 @@ def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         "conv", "turn", F.coalesce("reply", "before").alias("parent"), F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"), F.coalesce("n_linked", F.lit(0)).alias("n_linked")), "replies")
     # Pointer jumping to the root: the number of rounds is the logarithm of the depth.
     at = stored(tree.select("conv", "turn", F.coalesce("parent", "turn").alias("up"), F.col("parent").isNotNull().cast("bigint").alias("depth")), "depth")
-    turn = 0
-    while True:
-        above = at.select("conv", F.col("turn").alias("up"), F.col("up").alias("top"), F.col("depth").alias("more"))
+    done, turn = None, 0
+    while True:  # only messages whose pointer isn't at a root yet take part
+        upto = at if done is None else done.unionByName(at)
+        above = upto.select("conv", F.col("turn").alias("up"), F.col("up").alias("top"), F.col("depth").alias("more"))
         new = stored(at.join(above, ["conv", "up"]).select("conv", "turn", F.col("top").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved")), f"depth{turn}")
-        at, turn = new.drop("moved"), turn + 1
-        if new.filter("moved").isEmpty():
+        arrived, at, turn = new.filter("NOT moved").drop("moved"), new.filter("moved").drop("moved"), turn + 1
+        done = arrived if done is None else done.unionByName(arrived)
+        if at.isEmpty():
             break
-    known = tree.join(at, ["conv", "turn"])
+    known = tree.join(done, ["conv", "turn"])
     out = rows.join(known, ["conv", "turn"], "left")
     return out.select(
         F.col("conv").alias("conv_id"), "turn", "role", "text", F.col("parent").alias("parent_turn"), F.coalesce("up", "turn").alias("root_turn"),
