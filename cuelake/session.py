@@ -39,15 +39,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Only when the session names none (unit tests, a laptop) a folder of our own is
-    made and remembered, so every later call of the session agrees on it.
+    Only in local mode without one (unit tests, a laptop) a folder of our own is made
+    and remembered, so every later call of the session agrees on it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    jsc = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jsc.isDefined():
-        return jsc.get().rstrip("/")
+    chosen = spark.sparkContext.getCheckpointDir()
+    if chosen:
+        return chosen.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     own = tempfile.mkdtemp(prefix="cuelake-")
     spark.sparkContext.setCheckpointDir(own)
     return own
@@ -61,6 +63,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df):
     """Reliable checkpoint in the shared folder (survives lost executors)."""
     spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)

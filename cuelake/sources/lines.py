@@ -98,8 +98,9 @@ def load_labeled(spark: SparkSession, path: str | list[str],
            | ~L.is_valid(F.col("r.intent"), labels))
     where = F.concat(F.col("_src"), F.lit(":"), F.col("_line").cast("string"),
                      F.lit(": not a labeled example: "), F.col("line"))
-    intent = F.when(bad, F.raise_error(where)).otherwise(F.col("r.intent"))
-    return lines.select("r.text", intent.alias("intent"), "_src", "_line", "seq")
+    # The check is a filter: column pruning cannot drop it, whatever the caller selects.
+    checked = lines.filter(F.when(bad, F.raise_error(where).cast("boolean")).otherwise(F.lit(True)))
+    return checked.select("r.text", "r.intent", "_src", "_line", "seq")
 
 
 def load_labeled_dir(spark: SparkSession, directory: str,

@@ -106,17 +106,17 @@ def test_containment_matches_brute_force(spark, limit):
 
 
 def test_augment_invariants(spark, sf):
-    src = [("open spotify", "integration"), ("find the settings icon", "find_action"), ("what time is it", "chat"),
-           ("who won the game", "chat"), ("remember that my meeting's at 3pm", "memory"), ("junk", "none"),
-           ("search amazon and buy the cheapest hdmi cable", "agent")] * 4
+    src = [("start the radio app", "integration"), ("locate the volume slider", "find_action"), ("how late is it now", "chat"),
+           ("which team came first", "chat"), ("note that my sister's train leaves at six", "memory"), ("junk", "none"),
+           ("compare two laptops and order the lighter one", "agent")] * 4
     rows = spark.createDataFrame([(i, t, n) for i, (t, n) in enumerate(src)], "seq long, text string, intent string")
-    holdout = spark.createDataFrame([("um open spotify",), ("Can you, open spotify?",)], "text string")
+    holdout = spark.createDataFrame([("um start the radio app",), ("Can you, start the radio app?",)], "text string")
     got = A.augment(rows, holdout, bucket_rows=3).collect()
     again = A.augment(rows.repartition(5), holdout, bucket_rows=3).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, again)) and got
     loose = lambda t: " ".join("".join(c if c.isalnum() else " " for c in t.lower().replace("'", "")).split())
     keys = [loose(r["text"]) for r in got]
-    assert len(set(keys)) == len(keys) and not {"um open spotify", "can you open spotify"} & set(keys)
+    assert len(set(keys)) == len(keys) and not {"um start the radio app", "can you start the radio app"} & set(keys)
     assert all(keys) and all(loose(r["text"]) != loose(src[r["seq"]][0]) for r in got)
     per_row = {}
     for r in got:

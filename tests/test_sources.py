@@ -86,3 +86,13 @@ def test_stream_dedup_one_file_or_many(spark, tmp_path):
         J.run_available(J.dedup_stream(stream, "ts").select("text"), out, str(tmp_path / f"ck{files}"))
         return sorted(r["text"] for r in spark.read.parquet(out).collect())
     assert run(1) == run(10) == [f"Say {i}." for i in range(10)]
+
+
+def test_strict_scan_fails_whatever_is_selected(spark, tmp_path):
+    from cuelake.sources import lines as LN
+
+    path = tmp_path / "bad.jsonl"
+    path.write_text('{"text": "a", "intent": "chat"}\nnot json\n')
+    for use in (lambda d: d.count(), lambda d: d.select("text").collect(), lambda d: d.collect()):
+        with pytest.raises(Exception, match="bad.jsonl:2"):
+            use(LN.load_labeled(spark, str(path)))

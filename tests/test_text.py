@@ -3,12 +3,13 @@ from pyspark.sql import functions as F
 
 from cuelake.functions import keys as K, labels as L, text as T
 
+# Pairs that must match.
 VECTORS = [
     ("play despacito on spotify", "play despacito on spotify"),
     ("what's the capital of france", "what's the capital of france"),
     ("where is the search bar", "where is the search bar"),
     ("set volume to 50", "set volume to 50"),
-    ("remember my name is daniel", "remember my name is daniel"),
+    ("remember my name is morgan", "remember my name is morgan"),
     ("my wifi password is hunter2", "my wifi password <SECRET>"),
     ("email me at john@example.com", "email me at <EMAIL>"),
     ("call 5551234", "call <NUM>"),
