@@ -42,7 +42,35 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_spans(secrets.find_secrets(documents(spark, sf_dir)))
 
 
-@query("op10_host_rules")
+@query("op10_host_rules", r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, unnest([x FOR x IN regexp_split_to_array(t, '[\x20\x09-\x0D]+') IF x <> '']) AS word,
+             generate_subscripts([x FOR x IN regexp_split_to_array(t, '[\x20\x09-\x0D]+') IF x <> ''], 1) AS pos FROM d),
+g AS (SELECT doc_id, pos, word, count(*) OVER k AS n8, string_agg(word, ' ') OVER k AS gram
+      FROM w WINDOW k AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
+r AS (SELECT *, n8 = 8 AND count(*) FILTER (n8 = 8) OVER (PARTITION BY doc_id, gram) > 1 AS twice FROM g),
+c AS (SELECT doc_id, word, max(twice::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS inside FROM r),
+s AS (SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars, sum(inside) AS n_repeat_words FROM c GROUP BY doc_id),
+l AS (SELECT doc_id, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d),
+m AS (SELECT d.doc_id, d.source, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             len(lines) AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+      FROM d JOIN l USING (doc_id) LEFT JOIN s USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+h AS (SELECT source, rule, count(*) AS n, sum(k) AS k FROM (
+        SELECT source, unnest(['base', 'symbols', 'dup_lines']) AS rule,
+               unnest([base_failed::INT, (10 * n_symbols > word_chars)::INT, (100 * n_dup_lines > 30 * n_lines)::INT]) AS k
+        FROM f WHERE source IS NOT NULL) GROUP BY source, rule),
+t AS (SELECT rule, sum(n) AS n, count(*) AS hosts, sum(k) / sum(n) AS mean FROM h GROUP BY rule),
+v AS (SELECT rule, t.mean * (1 - t.mean) AS inside,
+             sum(h.n * pow(h.k / h.n - t.mean, 2)) / any_value(t.n) - t.mean * (1 - t.mean) * any_value(t.hosts) / any_value(t.n) AS between_
+      FROM h JOIN t USING (rule) GROUP BY rule, t.mean),
+p AS (SELECT rule, CASE WHEN between_ > 0 THEN least(1e6, greatest(1.0, inside / between_ - 1)) ELSE 1e6 END AS weight FROM v),
+bad AS (SELECT DISTINCT source FROM h JOIN t USING (rule) JOIN p USING (rule) WHERE (h.k + t.mean * weight) / (h.n + weight) >= 0.6)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(source NOT IN (SELECT source FROM bad), true) AS kept FROM f
+""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.apply_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
