@@ -37,7 +37,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest").drop("row")
 
 
-@query("op8_trigram_secrets")
+def _secrets_sql() -> str:
+    """Every rule run over every text, with positions from the gaps between matches."""
+    parts = []
+    for k, rule in enumerate(secrets.RULES):
+        p = "'" + rule.pattern.replace("'", "''") + "'"
+        parts.append(f"SELECT doc_id, '{rule.kind}' AS kind, {k} AS ord, {rule.least} AS least, unnest(string_split_regex(t, {p})) AS gap, "
+                     f"unnest(regexp_extract_all(t, {p}, 0)) AS hit, unnest(regexp_extract_all(t, {p}, {rule.group})) AS val, "
+                     f"generate_subscripts(string_split_regex(t, {p}), 1) AS i FROM d")
+    counts = ", ".join(f"count(kind) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE_RULES)
+    joined = "coalesce(string_agg(kind || ':' || (stop - length(hit)) || ':' || stop, ',' ORDER BY stop - length(hit), ord)"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(parts)}),
+e AS (SELECT *, sum(length(gap) + coalesce(length(hit), 0)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM m),
+s AS (SELECT * FROM e WHERE hit IS NOT NULL AND length(val) >= least)
+SELECT doc_id, {counts}, sha256({joined} FILTER (ord < {len(secrets.BASE_RULES)}), '')) AS base_sha256, {joined}, '') AS spans
+FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op8_trigram_secrets", _secrets_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_spans(secrets.find_secrets(documents(spark, sf_dir)))
 
