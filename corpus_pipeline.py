@@ -14,7 +14,7 @@ from cuelake.llm.common import documents, sha256_hex, stored, text_of
 
 # Words per shingle and similarity, in per cent, of near duplicates.
 SHINGLE_WORDS, SIMILAR_PCT = 5, 80
-ORACLE_SQL = None  # no stage but exact dedup can be said in SQL
+ORACLE_SQL = None  # most stages cannot be said in SQL
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
