@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cuelake.functions import disfluency as D, keys as K, labels as L
 from cuelake.functions.draws import draw_hash, pick_index, uniform
+from cuelake.operators.skew import attach_per_key
 
 ATTEMPTS = 12
 PER_ROW = 2
@@ -24,11 +25,11 @@ def with_partner(rows: DataFrame, id_col: str, seed: int, bucket_rows: int = BUC
     Rows of an intent are dealt into hash buckets of about ``bucket_rows`` rows; within
     a bucket the partner is the next row in hash order, the last row taking the first.
     """
-    sizes = rows.groupBy("intent").agg(F.ceil(F.count(F.lit(1)) / bucket_rows).alias("_buckets"))
-    dim = L.DEFAULT_LABELS.dim(rows.sparkSession).select("intent")
-    sizes = F.broadcast(sizes.join(F.broadcast(dim), "intent", "left_semi"))
+    # Any label space: every class found is dealt out, one without a label as well.
+    keyed = rows.withColumn("_class", F.coalesce("intent", F.lit("\u0001")))
+    sizes = keyed.groupBy("_class").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / bucket_rows).alias("_buckets"))
     h = draw_hash(seed, F.col(id_col), "partner")
-    dealt = (rows.join(sizes, "intent", "left").withColumn("_h", h)
+    dealt = (attach_per_key(keyed, sizes, "_class", F.col(id_col)).withColumn("_h", h)
              .withColumn("_bucket", pick_index(uniform(F.col("_h"), 0), F.coalesce("_buckets", F.lit(1)))))
     ring = W.partitionBy("intent", "_bucket").orderBy("_h", id_col)
     whole = ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from cuelake.functions import keys as K, labels as L, text as T
-from cuelake.operators.skew import HOT_KEYS, HOT_ROWS, attach_per_key
+from cuelake.operators.skew import HOT_KEYS, HOT_ROWS, attach_per_key, spread_key
 
 # The sample statuses.
 STATUSES = ["client_label", "teacher_label", "dup", "leak", "empty", "bad"]
@@ -33,7 +33,9 @@ def ingest_status(samples: DataFrame, pool: DataFrame, evals: DataFrame,
     rows = (samples.withColumn("_stripped", stripped)
             .withColumn("_empty", F.col("_stripped") == "")
             .withColumn("_usable", usable)
-            .withColumn("key", K.digest(K.key_redacted(F.col("_stripped")))))
+            .withColumn("_digest", K.digest(K.key_redacted(F.col("_stripped"))))
+            # Empty rows are judged without a key, so they spread instead of sharing one.
+            .withColumn("key", F.when(F.col("_empty"), spread_key(F.col("seq"), "binary")).otherwise(F.col("_digest"))))
 
     def keyed(df, seq, is_eval):
         return df.select(K.digest(K.key_redacted(F.col("text"))).alias("key"),
@@ -54,7 +56,7 @@ def ingest_status(samples: DataFrame, pool: DataFrame, evals: DataFrame,
               .when(~F.col("_usable"), "bad")
               .when(L.has_label(F.col("client_label")), "client_label")
               .otherwise("teacher_label"))
-    return judged.select(*samples.columns, "key", status.alias("status"))
+    return judged.select(*samples.columns, F.col("_digest").alias("key"), status.alias("status"))
 
 
 def status_counts(judged: DataFrame, statuses: list[str] = STATUSES) -> DataFrame:

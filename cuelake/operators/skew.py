@@ -20,7 +20,7 @@ HOT_ROWS = 100_000
 BROADCAST_ROWS = 1_000_000
 
 
-def _spread_key(on: Column, kind: str) -> Column:
+def spread_key(on: Column, kind: str) -> Column:
     """A key derived from ``on`` that no real key equals.
 
     Binary keys are digests of 32 bytes, this one has 9. String keys are word terms,
@@ -45,7 +45,7 @@ def attach_per_key(rows: DataFrame, per_key: DataFrame, key: str, spread: Column
     probed = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
     probed = probed.withColumn(
         "_join_key", F.when(F.col("_hot_key").isNull(), F.col(key)).otherwise(
-            _spread_key(spread, dict(rows.dtypes)[key])))
+            spread_key(spread, dict(rows.dtypes)[key])))
     joined = probed.join(cold, F.col("_join_key") == F.col("_cold_key"), "left")
     value = F.coalesce("_hot", "_cold")
     return joined.select(*rows.columns, *[value[c].alias(c) for c in values])
