@@ -2,17 +2,20 @@
 
 A document is its set of distinct word n-grams, as 64-bit keys. Two sets as similar as
 asked share a key among the first ``n - overlap + 1`` keys of each under *any* global
-order of the keys, and ``l`` keys among the first ``n - overlap + l``. Three orders are
+order of the keys, and ``l`` keys among the first ``n - overlap + l``. Four orders are
 used: ascending key (as good as random), ascending document frequency within that
-prefix (rare keys first), and descending key.
+prefix (rare keys first), ascending frequency within whole sets, and descending key.
 
 1. Prefixes under the first order are counted by key. The second order drops each
    prefix's ``l - 1`` most frequent keys, so words that everybody uses join nothing.
 2. Candidates meet in the remaining keys. Instead of all pairs of a key, documents first
    meet the key's most central one; what that links is one component, and only pairs of
-   different components that still share a key are compared afterwards. A large group of
-   near copies therefore costs about one comparison per member.
-3. A pair must pass the filter of the ascending order (its prefixes share at least ``l``
+   different components are compared afterwards. A large group of near copies therefore
+   costs about one comparison per member.
+3. Documents still sharing a key across components are ordered once more, by the
+   frequency of the keys of their whole sets among them (see ``_rare_first``), and only
+   pairs that meet in those prefixes go on.
+4. A pair must pass the filter of the ascending order (its prefixes share at least ``l``
    keys) and of the descending order before its whole sets are intersected. Every pair not yet connected is decided exactly.
 
 Equal sets are collapsed before anything is joined. Whole texts are tokenised twice (for
@@ -97,6 +100,35 @@ def _size_fits(a: Column, b: Column, pct: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * pct)
 
 
+def _rare_first(left: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFrame:
+    """Pairs (a, b) of the documents ``left`` that share a prefix key under the order
+    of ascending frequency of their whole sets.
+
+    Keys of one document take the first places of its order and join nothing, so only
+    their number matters. What is specific to a document thus fills its prefix, and a
+    large group of documents that differ from each other a little more than allowed
+    makes no pairs. A pair needs ``o`` common keys by its two sizes, so its first common
+    one is within the first ``n - o + 1`` places of both.
+    """
+    rows = stored(_only(sets, left).select("id", F.explode("keys").alias("key")).distinct(), f"{name}-whole")
+    often = rows.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = rows.join(often, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"))
+    first = shared.join(left, "id").withColumn("alone", F.col("n") - F.size("keys"))
+    room = F.greatest(F.lit(0), F.col("n") - _overlap(F.col("n"), pct) + 1 - F.col("alone"))
+    placed = first.select("id", "n", "comp", "alone", F.posexplode(F.slice("keys", 1, room)).alias("i", "k")).select(
+        "id", "n", "comp", F.col("k.key").alias("key"), (F.col("alone") + F.col("i") + 1).alias("place"))
+    placed = stored(placed, f"{name}-placed")
+    # The smaller set's place is bounded by its own size alone, so fewer rows are met than look.
+    half = F.ceil(F.col("n") * F.lit(2 * pct) / F.lit(100 + pct))
+    other = placed.filter(F.col("place") <= F.col("n") - half + 1).select(
+        "key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("place").alias("place2"))
+    need = F.ceil((F.col("n") + F.col("n2")) * F.lit(pct) / F.lit(100 + pct))
+    smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("id2") < F.col("id")))
+    met = placed.join(other, "key").filter(smaller & (F.col("comp") != F.col("comp2")) & _size_fits(F.col("n"), F.col("n2"), pct)
+                                           & (F.col("place") <= F.col("n") - need + 1) & (F.col("place2") <= F.col("n2") - need + 1))
+    return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, pct: int = 80,
                     name: str = "jaccard") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
@@ -150,10 +182,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 (F.col("comp") != F.col("c.comp")) & _size_fits(F.col("n"), F.col("c.n"), pct))
             pairs = met.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
         else:
-            rest = now.join(mixed.select("key"), "key").select("key", "id", "n", "comp")
-            other = rest.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-            pairs = (rest.join(other, "key").filter((F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & _size_fits(F.col("n"), F.col("n2"), pct))
-                     .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
+            # Third order: frequency over the whole sets, among the documents still to be told apart.
+            left = now.join(mixed.select("key"), "key").select("id", "n", "comp").distinct()
+            pairs = _rare_first(stored(left, f"{name}-left"), sets, pct, name)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, f"{name}-pairs{turn}")
