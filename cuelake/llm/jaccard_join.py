@@ -12,9 +12,10 @@ prefix (rare keys first), ascending frequency within whole sets, and descending
    meet the key's most central one; what that links is one component, and only pairs of
    different components are compared afterwards. A large group of near copies therefore
    costs about one comparison per member.
-3. Documents still sharing a key across components are ordered once more, by the
-   frequency of the keys of their whole sets among them (see ``_rare_first``), and only
-   pairs that meet in those prefixes go on.
+3. Documents still sharing a key across components are paired if the key has at most
+   ``FEW`` of them. Those of all other keys are ordered once more, by the frequency of
+   the keys of their whole sets among them (see ``_rare_first``), and pairs that meet in
+   those prefixes go on.
 4. A pair must pass the filter of the ascending order (its prefixes share at least ``l``
    keys) and of the descending order before its whole sets are intersected. Every pair not yet connected is decided exactly.
 
@@ -34,6 +35,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Keys more than one prefix needs; the most frequent of them may then be dropped.
 SPARE = 32
 CENTER_ROUNDS = 2
+# Documents of one key that are paired directly; those of more frequent keys are ordered once more.
+FEW = 32
 # Ids that may be broadcast (8 bytes each).
 SMALL_IDS = 1_000_000
 
@@ -108,9 +111,10 @@ def _rare_first(left: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFr
     their number matters. What is specific to a document thus fills its prefix, and a
     large group of documents that differ from each other a little more than allowed
     makes no pairs. A pair needs ``o`` common keys by its two sizes, so its first common
-    one is within the first ``n - o + 1`` places of both.
+    one is within the first ``n - o + 1`` places of both. Places are counted from the
+    last, so an id with several texts gets places that are at most too low.
     """
-    rows = stored(_only(sets, left).select("id", F.explode("keys").alias("key")).distinct(), f"{name}-whole")
+    rows = _only(sets, left).select("id", F.explode("keys").alias("key"))
     often = rows.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
     shared = rows.join(often, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"))
     first = shared.join(left, "id").withColumn("alone", F.col("n") - F.size("keys"))
@@ -126,7 +130,7 @@ def _rare_first(left: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFr
     smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("id2") < F.col("id")))
     met = placed.join(other, "key").filter(smaller & (F.col("comp") != F.col("comp2")) & _size_fits(F.col("n"), F.col("n2"), pct)
                                            & (F.col("place") <= F.col("n") - need + 1) & (F.col("place2") <= F.col("n2") - need + 1))
-    return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+    return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, pct: int = 80,
@@ -170,7 +174,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links, comps, tried = None, None, None
     for turn in range(CENTER_ROUNDS + 1):
         now = kept.withColumn("comp", F.col("id")) if comps is None else kept.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("docs"),
                                        F.max_by(F.struct("id", "n", "comp"), F.struct("central", "id")).alias("c")).filter("lo <> hi")
         if turn < CENTER_ROUNDS:
             # Each document against the most central one of its key; later rounds look
@@ -183,8 +187,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = met.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
         else:
             # Third order: frequency over the whole sets, among the documents still to be told apart.
-            left = now.join(mixed.select("key"), "key").select("id", "n", "comp").distinct()
-            pairs = _rare_first(stored(left, f"{name}-left"), sets, pct, name)
+            rest = stored(now.join(mixed.select("key", "docs"), "key").select("key", "docs", "id", "n", "comp"), f"{name}-rest")
+            few = rest.filter(F.col("docs") <= FEW)
+            other = few.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+            direct = (few.join(other, "key").filter((F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & _size_fits(F.col("n"), F.col("n2"), pct))
+                      .select(F.col("id").alias("a"), F.col("id2").alias("b")))
+            left = stored(rest.filter(F.col("docs") > FEW).select("id", "n", "comp").distinct(), f"{name}-left")
+            pairs = direct.unionByName(_rare_first(left, sets, pct, name)).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, f"{name}-pairs{turn}")

@@ -80,6 +80,23 @@ def test_jaccard_join_near_copies(spark):
         assert got == linked(key_sets(rows, n), pct)
 
 
+def test_jaccard_join_many_below_the_threshold(spark, monkeypatch):
+    """A large group just below the threshold with some links in it, ordered once more."""
+    monkeypatch.setattr(jaccard_join, "FEW", 4)
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(120)]
+    rows = []
+    for _ in range(90):
+        w = list(words)
+        for at in rng.integers(0, len(w), int(rng.integers(1, 5))):
+            w[at] = f"new{rng.integers(40)}"
+        rows.append((len(rows), " ".join(w[int(rng.integers(0, 3)):])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(df, n=3, pct=90).collect()}
+    want = linked(key_sets(rows, 3), 90)
+    assert 1 < len(set(want.values())) and got == want
+
+
 def test_components_of_a_path(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101)]
     got = {r["id"]: r["comp"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
