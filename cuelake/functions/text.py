@@ -24,8 +24,8 @@ DIGITS_PATTERN = r"\d{4,}"
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 # Unicode whitespace, with the four separators \x1c-\x1f.
-WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        "
-              "        　")
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000"
+              "\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 CLOSING = ".!?"
 
 _WORD_START = r"(?<![\p{L}\p{N}_])"
