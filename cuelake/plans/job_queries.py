@@ -150,16 +150,16 @@ def dataset_health(spark, sf):
 
 # --- fits (no SQL counterpart) -----------------------------------------------------------
 
-# The floor model's default is 1000 iterations or convergence; its per-iteration cost is
-# what a run at this scale shows, so the registered query stops here.
+# Known fault: the default is 1000 iterations or convergence, which this query does not
+# reach in 210 s at sf0.01, so it stops here.
 QUERY_ITERATIONS = 20
 
 
 @query("h05_floor_model")
 def floor_model(spark, sf):
-    """Fit on pool and log, report per class on the evals."""
+    """Hashed floor model fitted on pool and log, report per class on the evals."""
     docs = R.documents(spark, sf).select("part", "text", F.col("intent"))
-    model = FT.fit_floor(docs.filter("part <> 'eval'"), max_iter=QUERY_ITERATIONS)
+    model = FT.fit_hashed_floor(docs.filter("part <> 'eval'"), max_iter=QUERY_ITERATIONS)
     pred = model.predict(docs.filter("part = 'eval'")).withColumnRenamed("intent", "gold")
     return r6(M.class_report(pred, L.INTENTS), "precision", "recall", "f1")
 

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cuelake.functions import disfluency as D, labels as L, vectors as V
+from cuelake.functions import disfluency as D, labels as L, text as T, vectors as V
 from cuelake.functions.draws import draw_hash
 from cuelake.operators import (augment as A, calibrate as C, compare as P, curate as U, fit as FT, metrics as M,
                                ranks as N, skew as S)
@@ -143,8 +143,19 @@ def test_floor_model_separates(spark):
     model = FT.fit_floor(df, max_iter=50)
     assert model.predict(df).filter("pred <> intent").count() == 0
     assert model.labels == ["find_action", "memory"]
-    hashed = FT.fit_floor(df, max_iter=50, max_features=4)
-    assert set(hashed.labels) == set(model.labels)
+    terms = df.select(F.explode(T.unigrams_and_bigrams(F.col("text")))).distinct().count()
+    assert len(model.features.stages[0].vocabulary) == terms
+
+
+def test_hashed_floor_model_separates_at_its_own_size(spark):
+    rows = [("click the button", "find_action"), ("tap the icon", "find_action"), ("remember my name", "memory"),
+            ("note my birthday", "memory")] * 5
+    df = spark.createDataFrame(rows, "text string, intent string")
+    hashed = FT.fit_hashed_floor(df, features=1 << 10)
+    assert hashed.classifier.stages[0].numFeatures == 1 << 10
+    assert hashed.predict(df).filter("pred <> intent").count() == 0
+    tiny = FT.fit_hashed_floor(df, features=4, max_iter=50)
+    assert tiny.classifier.stages[0].numFeatures == 4 and tiny.labels == hashed.labels
 
 
 def test_head_fit_is_alphabetical_and_balanced(spark):
