@@ -108,9 +108,10 @@ def _rare_first(left: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFr
     of ascending frequency of their whole sets.
 
     Keys of one document take the first places of its order and join nothing, so only
-    their number matters. What is specific to a document thus fills its prefix, and a
-    large group of documents that differ from each other a little more than allowed
-    makes no pairs. A pair needs ``o`` common keys by its two sizes, so its first common
+    their number matters. What is specific to a document thus fills its prefix, so a
+    large group of documents that differ from each other a little more than allowed makes
+    fewer pairs, the more keys of its own each member has; members with few of them
+    still make pairs by the square of the group. A pair needs ``o`` common keys by its two sizes, so its first common
     one is within the first ``n - o + 1`` places of both. Places are counted from the
     last, so an id with several texts gets places that are at most too low.
     """
