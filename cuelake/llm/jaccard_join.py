@@ -22,10 +22,17 @@ prefix (rare keys first), ascending frequency within whole sets, and descending
 Equal sets are collapsed before anything is joined. Whole texts are tokenised twice (for
 prefixes, and for the sets of documents in some candidate); sets of other documents
 never move.
+
+Links are counted afterwards, on demand (``count_links``): every link lies within one
+component, so each component is dealt out in chunks, a task holds two chunks and decides
+all their pairs exactly, and only a number per document leaves it. That is a comparison
+per pair of different sets of a component, but rows only by the number of its chunks.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from cuelake.llm.common import let, stored, text_of, words
@@ -39,6 +46,9 @@ CENTER_ROUNDS = 2
 FEW = 32
 # Ids that may be broadcast (8 bytes each).
 SMALL_IDS = 1_000_000
+# Documents and keys of a component that a chunk holds, about; and columns of a product.
+CHUNK_DOCS, CHUNK_KEYS = 256, 1_000_000
+COLUMNS = 2048
 
 
 def shingle_keys(text: Column, n: int) -> Column:
@@ -134,15 +144,98 @@ def _rare_first(left: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFr
     return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
 
 
+def _linked_rows(keys: np.ndarray, lens: np.ndarray, left: np.ndarray, rows: np.ndarray, within: bool, pct: int) -> np.ndarray:
+    """Rows that each set links with, among all pairs of a left and another set, or
+    (``within``) among all pairs. ``keys`` holds the sets end to end."""
+    m = len(lens)
+    a = np.arange(m) if within else np.nonzero(left)[0]
+    b = a if within else np.nonzero(~left)[0]
+    if len(a) * len(b) <= 16:
+        ends = np.cumsum(lens)
+        sets = [keys[e - n:e] for e, n in zip(ends, lens)]
+        shared = np.array([[len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for y in b] for x in a]).reshape(len(a), len(b))
+    else:
+        order = np.argsort(keys, kind="stable")
+        new = np.diff(keys[order], prepend=keys[order[0]] - 1) != 0
+        code, df = np.cumsum(new) - 1, np.diff(np.append(np.nonzero(new)[0], len(keys)))
+        # Keys of one set are shared with none.
+        often = df > 1
+        on = often[code]
+        owner, code = np.repeat(np.arange(m), lens)[order][on], (np.cumsum(often) - 1)[code[on]]
+        shared = np.zeros((len(a), len(b)))
+        for at in range(0, int(often.sum()), COLUMNS):
+            lo, hi = np.searchsorted(code, [at, at + COLUMNS])
+            has = np.zeros((m, COLUMNS), np.float32)
+            has[owner[lo:hi], code[lo:hi] - at] = 1
+            shared += has[a] @ has[b].T
+    shared = shared.astype(np.int64)
+    link = shared * 100 >= (lens[a][:, None] + lens[b][None, :] - shared) * pct
+    if within:
+        np.fill_diagonal(link, False)
+    out = np.zeros(m, np.int64)
+    out[a] = link @ rows[b]
+    if not within:
+        out[b] = rows[a] @ link
+    return out
+
+
+def _count_links(pct: int):
+    """Links of each set with those of the same (comp, i, j), sorted by these."""
+    def of(t: pa.Table) -> pa.RecordBatch:
+        side, i, j, rows = (t.column(c).to_numpy() for c in ("side", "i", "j", "rows"))
+        keys = t.column("keys").combine_chunks()
+        lens, flat = keys.value_lengths().to_numpy().astype(np.int64), keys.flatten().to_numpy()
+        n = _linked_rows(flat, lens, side == i, rows, bool(i[0] == j[0]), pct)
+        return pa.RecordBatch.from_arrays([*(t.column(c).combine_chunks() for c in ("n", "h1", "h2")), pa.array(n)], ["n", "h1", "h2", "links"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            edge = np.any([np.diff(held.column(c).to_numpy()) != 0 for c in ("comp", "i", "j")], axis=0)
+            at = 0
+            for cut in (np.nonzero(edge)[0] + 1).tolist():
+                yield of(held.slice(at, cut - at))
+                at = cut
+            held = held.slice(at)
+        if held is not None:
+            yield of(held)
+    return run
+
+
+def link_counts(reps: DataFrame, sets: DataFrame, comps: DataFrame, n: int, pct: int, name: str) -> DataFrame:
+    """(n, h1, h2, links): rows with another set that the rows of a set link with.
+
+    ``reps`` has a row per different set, ``sets`` the keys by id, ``comps`` the
+    component of an id. Every pair of a component is decided, whatever its size.
+    """
+    same = ["n", "h1", "h2"]
+    members = stored(reps.join(comps, reps["rep"] == comps["id"]).select("id", *same, "rows", "comp"), f"{name}-members")
+    width = members.groupBy("comp").agg(F.greatest(
+        F.ceil(F.count("*") / CHUNK_DOCS), F.ceil(F.sum("n") / CHUNK_KEYS)).cast("int").alias("parts"))
+    placed = stored(members.join(width, "comp").withColumn("side", F.pmod(F.xxhash64("h2", "h1"), F.col("parts")).cast("int")), f"{name}-chunks")
+    keyed = _only(sets, placed).withColumns({"h1": F.xxhash64("keys"), "h2": F.xxhash64(F.lit(n), "keys"), "n": F.size("keys")})
+    rows = (keyed.join(placed, ["id", *same]).dropDuplicates(["id", *same])
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("comp", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", *same, "rows", "keys"))
+    counted = rows.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(
+        _count_links(pct), "n int, h1 bigint, h2 bigint, links bigint")
+    return stored(counted.groupBy(*same).agg(F.sum("links").alias("links")), f"{name}-counts")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, pct: int = 80,
-                    name: str = "jaccard") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id.
+                    name: str = "jaccard", count_links: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id and, if asked, n_links.
 
     ``component_id`` is the smallest id reachable over links (100 * intersection >=
     pct * union), the row's own included. Null or empty texts have empty sets and link
     with nothing; so do rows with a null id (null component); rows repeating an id with
     another text are judged by their own text; an empty table gives an empty result;
-    further columns are ignored.
+    further columns are ignored. ``n_links`` is the number of other rows (with an id)
+    that the row links with, rows of an equal set included.
     """
     base = stored(docs.select(docs[id_col].cast("bigint").alias("doc_id"), let(shingle_keys(docs[text_col], n), lambda k: F.struct(
         F.size(k).alias("n"), F.xxhash64(k).alias("h1"), F.xxhash64(F.lit(n), k).alias("h2"),
@@ -203,7 +296,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = found if links is None else links.unionByName(found)
             comps = stored(components(links, f"{name}-cc{turn}"), f"{name}-comps{turn}")
         tried = pairs if tried is None else tried.unionByName(pairs)
-    of = base.join(reps.filter("rows > 1").drop("rows"), same, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    of = base.join(reps.filter("rows > 1"), same, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     if comps is not None:
         of = of.join(comps, of["rep"] == comps["id"], "left").withColumn("rep", F.coalesce("comp", "rep"))
-    return of.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.col("rep").alias("component_id"))
+    out = ["doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.col("rep").alias("component_id")]
+    if count_links:
+        others = F.coalesce(F.col("rows") - 1, F.lit(0))
+        if comps is not None:
+            of = of.join(link_counts(reps, sets, comps, n, pct, f"{name}-count"), same, "left")
+            others = others + F.coalesce("links", F.lit(0))
+        out.append(F.when(F.col("doc_id").isNull(), 0).otherwise(others).cast("bigint").alias("n_links"))
+    return of.select(*out)

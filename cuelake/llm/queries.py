@@ -118,7 +118,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_jaccard_join")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(documents(spark, sf_dir), n=3, pct=90)
+    return jaccard_join.near_duplicates(documents(spark, sf_dir), n=3, pct=90, count_links=True)
 
 
 @query("op5_column_suffix_dedup")

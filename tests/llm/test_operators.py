@@ -97,6 +97,26 @@ def test_jaccard_join_many_below_the_threshold(spark, monkeypatch):
     assert 1 < len(set(want.values())) and got == want
 
 
+def test_jaccard_join_counts_every_link(spark, monkeypatch):
+    """Links between documents already in one component are counted too, across chunks and by rows."""
+    monkeypatch.setattr(jaccard_join, "CHUNK_DOCS", 7)
+    rng = np.random.default_rng(11)
+    rows = []
+    for g in range(5):
+        words = [f"g{g}w{k}" for k in range(100)]
+        for _ in range(4 if g else 50):
+            w = list(words)
+            for at in rng.integers(0, len(w), int(rng.integers(0, 3))):
+                w[at] = f"new{rng.integers(1000)}"
+            rows.append((len(rows), " ".join(w)))
+    rows += [(len(rows) + k, rows[0][1]) for k in range(3)] + [(900, "alone in this"), (901, None), (902, "")]
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.near_duplicates(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), n=3, pct=90, count_links=True).collect()}
+    sets = key_sets([(i, t or "") for i, t in rows], 3)
+    want = {a: sum(a != b and bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]) for b in sets) for a in sets}
+    assert got == want and max(want.values()) > 10
+
+
 def test_components_of_a_path(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101)]
     got = {r["id"]: r["comp"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
