@@ -13,10 +13,12 @@ its longest document, so the construction runs on what can repeat at all:
    Burrows-Wheeler order of that column) and the common prefixes of neighbours.
    Neighbours with a common prefix of WIDTH bytes are the same window; all but the first
    in the corpus is a repeat. Rounds are bounded by the snippet length.
-4. Anchors with more than BLOCK occurrences are split by document; what each block keeps
-   is then compared across blocks by two 64-bit hashes of the window.
+4. Anchors with more than BLOCK occurrences are split by document and place, and cut
+   anywhere where a part still exceeds a block; what each block keeps is then compared
+   across blocks by two 64-bit hashes of the window.
 
-Blocks stream through a task one after the other; a task holds one at a time.
+Blocks stream through a task one after the other; a task holds one of at most 2 * BLOCK
+snippets at a time.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ BLOCK = 8192
 POS_BITS = 22
 SLICE = (1 << POS_BITS) - 2 * WIDTH  # bytes whose windows are named at once
 PAD = 256
+# Places of one document that a frequent anchor's part takes together; bytes of a text that snippets are cut from at once.
+RANGE, PART = 1 << 10, 1 << 16
 SMALL_IDS = 1_000_000
 
 
@@ -107,20 +111,30 @@ def _name_windows(batches):
 
 
 def _cut(batches):
-    """Snippets of the listed anchors, cut from their document."""
+    """Snippets of the listed anchors, cut from their part of the document."""
+    kinds = {"anchor": pa.int64(), "salt": pa.int64(), "id": pa.int64(), "at": pa.int64(), "before": pa.int16(), "after": pa.int16()}
+
+    def out(held, snippets):
+        return pa.RecordBatch.from_arrays([*(pa.array(np.concatenate([h[c] for h in held]), t) for c, t in kinds.items()),
+                                           pa.array(snippets, pa.binary())], [*kinds, "snippet"])
+
     for batch in batches:
-        out = {c: [] for c in ("anchor", "salt", "id", "at", "before", "after", "snippet")}
-        for row in batch.to_pylist():
-            raw = row["text"]
-            for m in row["marks"]:
-                out["anchor"].append(m["anchor"])
-                out["salt"].append(m["salt"])
-                out["id"].append(row["id"])
-                for c in ("at", "before", "after"):
-                    out[c].append(m[c])
-                out["snippet"].append(raw[m["at"] - m["before"]:m["at"] - m["after"] + WIDTH])
-        yield pa.RecordBatch.from_arrays([pa.array(out["anchor"], pa.int64()), pa.array(out["salt"], pa.int64()), pa.array(out["id"], pa.int64()), pa.array(out["at"], pa.int64()),
-                                          pa.array(out["before"], pa.int16()), pa.array(out["after"], pa.int16()), pa.array(out["snippet"], pa.binary())], list(out))
+        ids, bases = (batch.column(c).to_pylist() for c in ("id", "base"))
+        held, snippets = [], []
+        for row in range(batch.num_rows):
+            raw, marks = batch.column("text")[row].as_py(), batch.column("marks")[row].values
+            fields = dict(zip((f.name for f in marks.type), (f.to_numpy() for f in marks.flatten())))
+            fields["id"] = np.full(len(marks), ids[row], np.int64)
+            lo = fields["at"] - fields["before"] - bases[row]
+            hi = fields["at"] - fields["after"] + WIDTH - bases[row]
+            for k in range(0, len(marks), BLOCK):
+                held.append({c: fields[c][k:k + BLOCK] for c in kinds})
+                snippets.extend(raw[x:y] for x, y in zip(lo[k:k + BLOCK].tolist(), hi[k:k + BLOCK].tolist()))
+                if len(snippets) >= BLOCK:
+                    yield out(held, snippets)
+                    held, snippets = [], []
+        if held:
+            yield out(held, snippets)
 
 
 def repeats(group: np.ndarray, rank: np.ndarray, before: np.ndarray, after: np.ndarray, cells: np.ndarray) -> np.ndarray:
@@ -162,8 +176,24 @@ def repeats(group: np.ndarray, rank: np.ndarray, before: np.ndarray, after: np.n
     return out
 
 
+def _merged(ids: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each document, overlapping and touching ones made one."""
+    if not len(ids):
+        return ids, lo, hi
+    order = np.lexsort((lo, ids))
+    ids, lo, hi = ids[order], lo[order], hi[order]
+    other = np.diff(ids, prepend=ids[0]) != 0
+    shift = np.cumsum(other) * (int(hi.max()) + 1)
+    end = np.maximum.accumulate(hi + shift)
+    new = np.ones(len(ids), bool)
+    new[1:] = other[1:] | ((lo + shift)[1:] > end[:-1])
+    first = np.nonzero(new)[0]
+    return ids[first], lo[first], np.maximum.reduceat(hi, first)
+
+
 def _sort_blocks(batches):
-    """Blocks of whole (anchor, salt) groups; yields repeated and, for split anchors, kept windows."""
+    """Blocks of (anchor, salt) groups, whole ones unless the anchor is split; yields
+    repeated and, for split anchors, kept windows."""
     def block(rows: pa.Table):
         a, s, ids, at, before, after = (rows.column(c).to_numpy() for c in ("anchor", "salt", "id", "at", "before", "after"))
         before, after = before.astype(np.int64), after.astype(np.int64)
@@ -182,7 +212,7 @@ def _sort_blocks(batches):
         who, lo = np.nonzero(edge == 1)
         hi = np.nonzero(edge == -1)[1]
         start = at[who] - REACH + lo
-        yield ids[who], start, at[who] - REACH + hi - 1 + WIDTH, None, None
+        yield *_merged(ids[who], start, at[who] - REACH + hi - 1 + WIDTH), None, None
         split = s >= 0
         if split.any():  # windows kept here may be repeats of another block's
             cols = np.arange(REACH + 1)
@@ -210,11 +240,9 @@ def _sort_blocks(batches):
         while held.num_rows > 2 * BLOCK:
             a, s = held.column("anchor").to_numpy(), held.column("salt").to_numpy()
             edges = np.nonzero((a[1:] != a[:-1]) | (s[1:] != s[:-1]))[0] + 1
-            if not len(edges):
-                break
-            cut = int(edges[max(0, np.searchsorted(edges, 2 * BLOCK) - 1)])
-            if cut == held.num_rows:
-                break
+            edges = edges[edges <= 2 * BLOCK]
+            # Only a split anchor's part can be longer, and its blocks are compared afterwards.
+            cut = int(edges[-1]) if len(edges) else BLOCK
             yield from out(block(held.slice(0, cut).combine_chunks()))
             held = held.slice(cut)
     if held is not None and held.num_rows:
@@ -275,11 +303,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     owners = _only(texts.filter("id IS NOT NULL"), later, "left_anti")
     named = stored(owners.mapInArrow(_name_windows, "anchor bigint, id bigint, at bigint, before smallint, after smallint"), f"{name}-anchors")
     often = named.groupBy("anchor").agg(F.count("*").alias("df")).filter("df > 1")
-    # Anchors with many occurrences are split by document, so no task holds them all.
-    parts = F.when(F.col("df") > BLOCK, F.pmod(F.xxhash64("id"), F.ceil(F.col("df") / BLOCK) * 2)).otherwise(F.lit(-1))
-    marks = stored(named.join(often, "anchor").withColumn("salt", parts.cast("bigint")).groupBy("id").agg(
+    # Anchors with many occurrences are split by document and place, so no task holds them all.
+    place = F.floor(F.col("at") / RANGE)
+    parts = F.when(F.col("df") > BLOCK, F.pmod(F.xxhash64("id", place), F.ceil(F.col("df") / BLOCK) * 2)).otherwise(F.lit(-1))
+    marks = stored(named.join(often, "anchor").withColumn("salt", parts.cast("bigint")).groupBy("id", F.floor(F.col("at") / PART).alias("part")).agg(
         F.collect_list(F.struct("anchor", "salt", "at", "before", "after")).alias("marks")), f"{name}-marks")
-    cut = _only(texts, marks.select("id"), "left_semi").dropDuplicates(["id"]).join(marks, "id").mapInArrow(
+    base = F.greatest(F.lit(0), F.col("part") * PART - REACH)
+    cut = _only(texts, marks.select("id").distinct(), "left_semi").dropDuplicates(["id"]).join(marks, "id").select(
+        "id", base.alias("base"), F.substring("text", (base + 1).cast("int"), F.lit(PART + REACH + WIDTH)).alias("text"), "marks").mapInArrow(
         _cut, "anchor bigint, salt bigint, id bigint, at bigint, before smallint, after smallint, snippet binary")
     found = stored(cut.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(
         _sort_blocks, "id bigint, lo bigint, hi bigint, h1 bigint, h2 bigint"), f"{name}-found")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from cuelake.llm import (cotraining, exact_dedup, host_rules, jaccard_join, language_crf, mixing, pieces, queries, quotes, secrets,
@@ -191,6 +192,37 @@ def test_substrings_split_anchors(spark, monkeypatch):
     assert got[0] == 0 and all(got[k] >= len(same) for k in range(1, 40))
 
 
+def test_substrings_run_of_one_byte(spark, monkeypatch):
+    """Every position of such a run is its own anchor; its blocks stay bounded and its first windows stay."""
+    rng = np.random.default_rng(2)
+    mixed = ["".join(rng.choice(list("abc -"), 150)) for _ in range(3)]
+    rows = [(1, mixed[0] + "-" * 70_000 + mixed[1]), (2, mixed[2] + "-" * 900 + mixed[0]), (3, "-" * 20_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    seen = set()
+    want = {}
+    for i, t in rows:
+        cover = np.zeros(len(t), bool)
+        for j in range(len(t) - 99):
+            cover[j:j + 100] |= t[j:j + 100] in seen
+            seen.add(t[j:j + 100])
+        kept = "".join(c for c, gone in zip(t, cover) if not gone)
+        want[i] = (int(cover.sum()), int((np.diff(cover.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept.encode()).hexdigest())
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == want
+
+    sizes = []
+    real = substring_dedup.repeats
+    monkeypatch.setattr(substring_dedup, "BLOCK", 16)
+    monkeypatch.setattr(substring_dedup, "repeats", lambda group, *rest: sizes.append(len(group)) or real(group, *rest))
+    n = 300
+    part = pa.RecordBatch.from_arrays([
+        pa.array([5] * n), pa.array([0] * n), pa.array([1] * n), pa.array(range(n)), pa.array([0] * n, pa.int16()), pa.array([0] * n, pa.int16()),
+        pa.array([b"-" * 100] * n)], ["anchor", "salt", "id", "at", "before", "after", "snippet"])
+    out = pa.Table.from_batches(list(substring_dedup._sort_blocks([part]))).to_pandas()
+    assert sum(sizes) == n and max(sizes) <= 2 * 16
+    assert out.h1.notna().sum() == len(sizes)
+
+
 def test_quality_agrees_with_labels(spark):
     rows = [(k, ("### %%% $$$ && bad" if k % 3 == 0 else f"some decent prose about topic {k} and more") + " word" * (k % 5),
              "en", f"s{k % 4}", 40) for k in range(240)]
