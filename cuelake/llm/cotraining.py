@@ -2,12 +2,14 @@
 
 The content view is a logistic regression on hashed words and character shares of the
 whole text; the metadata view is one on source, language and length only. In every
-round each view labels the unlabelled pool, and what one is sure of is added to the
-other's training rows. At the end both views are calibrated, and combined, on labelled
-rows neither has seen, and every document is scored.
-
-Training rows and the pool are bounded samples by hash order (``max_labelled``,
-``max_pool``); scoring covers all documents and happens in the scan, without a shuffle.
+round each view labels every unlabelled document, and all that one is sure of are added
+to the other's training rows, however many; together they weigh at most PSEUDO_SHARE of
+their class's labelled rows. At the end both views are calibrated, and combined, on
+labelled rows neither has seen, and every document is scored.
+
+Only labelled rows are a bounded sample (``max_labelled``), by hash order within each
+class and weighted by the class's true size. Features of the unlabelled documents are
+written once; a round labels them in the scan of that table, without a shuffle.
 """
 
 from __future__ import annotations
@@ -23,12 +25,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cuelake.llm.common import let, stored, text_of, words
 
 MAX_LABELLED = 8_000
-MAX_POOL = 4_000
 ROUNDS = 2
-# A view is sure of a pool row beyond these probabilities of its calibrated score.
+# A view is sure of an unlabelled row beyond these probabilities of its calibrated score.
 SURE_BAD, SURE_GOOD = 0.05, 0.98
-# At most so many pool rows pass from one view to the other, per class and round.
-PER_ROUND = 500
+# Weight of such a row, and of all such rows of a class as a share of its labelled ones.
+PSEUDO_WEIGHT, PSEUDO_SHARE = 0.5, 0.5
+# Ids that may be broadcast (8 bytes each).
+SMALL_IDS = 1_000_000
 WORD_BUCKETS = 1 << 12
 META_BUCKETS = 1 << 10
 SAMPLE_FILES = 6
@@ -92,49 +95,80 @@ def _log_odds(rows: DataFrame, model: LogisticRegressionModel, view: str) -> Dat
 def _logit(rows: DataFrame, inputs: list[str]) -> tuple[list[float], float]:
     """Platt scaling: logistic regression on log odds."""
     at = VectorAssembler(inputCols=inputs, outputCol="_x").transform(rows)
-    model = LogisticRegression(featuresCol="_x", labelCol="y", maxIter=25, regParam=1e-3).fit(at)
+    model = LogisticRegression(featuresCol="_x", labelCol="y", weightCol="weight", maxIter=25, regParam=1e-3).fit(at)
     return [float(c) for c in model.coefficients], float(model.intercept)
 
 
+def _sample(known: DataFrame, max_labelled: int) -> DataFrame:
+    """At most ``max_labelled`` of the labelled ids (doc_id, y), by hash order within each
+    class; a class takes half of them, and what the other leaves. ``weight`` restores the
+    classes' sizes."""
+    order = F.xxhash64("doc_id", F.lit(6))
+    sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    half = max_labelled // 2
+    take = {y: min(n, max(half, max_labelled - sum(sizes[z] for z in sizes if z != y))) for y, n in sizes.items()}
+    scale = sum(take.values()) / max(1, sum(sizes.values()))
+    parts = [known.filter(F.col("y") == y).orderBy(order).limit(take[y]).withColumn("weight", F.lit(scale * sizes[y] / take[y])) for y in sorted(take)]
+    out = known.limit(0).withColumn("weight", F.lit(1.0))
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
+def _labelled_by(pool: DataFrame, teachers: list[tuple[LogisticRegressionModel, float, float]], view: str) -> DataFrame:
+    """Pool rows that one of a view's models (in order, with its calibration) is sure of, with y."""
+    rows = pool.withColumn("y", F.lit(None).cast("double"))
+    for model, a, b in teachers:
+        sure = 1 / (1 + F.exp(-(F.col(f"{view}_odds") * a + b)))
+        rows = _log_odds(rows, model, view).withColumn(
+            "y", F.coalesce("y", F.when(sure <= SURE_BAD, 0.0).when(sure >= SURE_GOOD, 1.0))).drop(f"{view}_odds")
+    return rows.filter("y IS NOT NULL")
+
+
+def _weighted(pseudo: DataFrame, labelled: dict[float, float]) -> DataFrame:
+    """Pseudo-labelled rows with their weight; ``labelled`` is the weight of each class."""
+    counts = {r["y"]: r["count"] for r in pseudo.groupBy("y").count().collect()}
+    each = {y: min(PSEUDO_WEIGHT, PSEUDO_SHARE * labelled.get(y, 0.0) / max(1, counts.get(y, 0))) for y in (0.0, 1.0)}
+    return pseudo.withColumn("weight", F.when(F.col("y") == 0, each[0.0]).otherwise(each[1.0]))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           lang_col: str = "lang", chars_col: str = "n_chars", label_col: str = "quality", max_labelled: int = MAX_LABELLED,
-          max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> CoTrained | None:
-    """Co-train on labelled rows and a pool of unlabelled ones; None without both classes."""
-    order = F.xxhash64("doc_id", F.lit(6))
+          rounds: int = ROUNDS) -> CoTrained | None:
+    """Co-train on labelled rows and all unlabelled ones; None without both classes."""
     known = (labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("double").alias("y"))
              .filter("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.min("y").alias("y")))
-    # Bounded samples, picked on ids alone before any text is fetched.
-    ids = docs.select(docs[id_col].alias("doc_id")).filter("doc_id IS NOT NULL").distinct().join(known, "doc_id", "left")
-    picked = stored(ids.filter("y IS NOT NULL").orderBy(order).limit(max_labelled).unionByName(
-        ids.filter("y IS NULL").orderBy(order).limit(max_pool)), "cotrain-ids")
-    small = F.broadcast(picked.withColumnRenamed("doc_id", "_id"))  # at most max_labelled + max_pool ids
-    rows = docs.join(small, docs[id_col] == small["_id"])
+    # The sample is picked on ids alone before any text is fetched.
+    ids = docs.select(docs[id_col].alias("doc_id")).distinct()
+    known = stored(known.join(ids, "doc_id", "left_semi"), "cotrain-known")
+    picked = stored(_sample(known, max_labelled), "cotrain-ids")
+    small = F.broadcast(picked.withColumnRenamed("doc_id", "_id"))  # at most max_labelled ids
     stages = _feature_stages()
-    raw = _featured(rows, id_col, text_col, source_col, lang_col, chars_col, F.col("y"))
-    features = stages.fit(raw)
-    # The sample is bounded, so a few files hold it, and a fit is a few tasks a step.
-    rows = stored(features.transform(raw).select("doc_id", "y", "content", "metadata").coalesce(SAMPLE_FILES), "cotrain")
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4))
-    seen = rows.filter("y IS NOT NULL").withColumn("held", fold == 0).withColumn("weight", F.lit(1.0))
-    fit_rows, held = seen.filter("NOT held").drop("held"), seen.filter("held").drop("held")
-    classes = [r["y"] for r in fit_rows.select("y").distinct().collect()]
+
+    def featured(rows: DataFrame, *more: Column) -> DataFrame:
+        raw = _featured(rows, id_col, text_col, source_col, lang_col, chars_col, *more)
+        return stages.fit(raw).transform(raw)
+
+    seen = featured(docs.join(small, docs[id_col] == small["_id"]), F.col("y"), F.col("weight"))
+    # The sample is bounded, so a few files hold it.
+    seen = stored(seen.select("doc_id", "y", "weight", "content", "metadata").coalesce(SAMPLE_FILES), "cotrain")
+    features = stages.fit(_featured(docs, id_col, text_col, source_col, lang_col, chars_col))
+    seen = seen.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0)
+    fit_rows, held = (seen.filter(c).select("y", "content", "metadata", "weight") for c in ("NOT held", "held"))
+    classes = {r["y"]: r["w"] for r in fit_rows.groupBy("y").agg(F.sum("weight").alias("w")).collect()}
     if len(classes) < 2 or held.select("y").distinct().count() < 2:
         return None
-    pool = rows.filter("y IS NULL").drop("y")
-    train_rows = {"content": fit_rows, "metadata": fit_rows}
-    models = {v: _fit(train_rows[v], v) for v in train_rows}
-    taken = {"content": None, "metadata": None}
-    for turn in range(rounds):
-        for teacher, pupil in (("content", "metadata"), ("metadata", "content")):
-            (a,), b = _logit(_log_odds(held, models[teacher], teacher), [f"{teacher}_odds"])
-            sure = 1 / (1 + F.exp(-(F.col(f"{teacher}_odds") * a + b)))
-            left = pool if taken[pupil] is None else pool.join(F.broadcast(taken[pupil].select("doc_id")), "doc_id", "left_anti")
-            scored = _log_odds(left, models[teacher], teacher).withColumn("sure", sure)
-            new = stored(scored.filter(F.col("sure") <= SURE_BAD).orderBy("sure", "doc_id").limit(PER_ROUND).withColumn("y", F.lit(0.0))
-                         .unionByName(scored.filter(F.col("sure") >= SURE_GOOD).orderBy(F.desc("sure"), "doc_id").limit(PER_ROUND).withColumn("y", F.lit(1.0)))
-                         .select("doc_id", "y", "content", "metadata", F.lit(0.5).alias("weight")), f"pseudo{turn}")
-            taken[pupil] = new if taken[pupil] is None else taken[pupil].unionByName(new)
-        models = {v: _fit(fit_rows.select("doc_id", "y", "content", "metadata", "weight").unionByName(taken[v]), v) for v in models}
+    done = known.select(F.col("doc_id").alias("_id"))
+    done = F.broadcast(done) if known.count() <= SMALL_IDS else done
+    pool = stored(featured(docs.join(done, docs[id_col] == done["_id"], "left_anti")).select("content", "metadata"), "cotrain-pool")
+    models = {v: _fit(fit_rows, v) for v in ("content", "metadata")}
+    teachers = {v: [] for v in models}
+    for _ in range(rounds):
+        for v in models:
+            (a,), b = _logit(_log_odds(held, models[v], v), [f"{v}_odds"])
+            teachers[v].append((models[v], a, b))
+        models = {pupil: _fit(fit_rows.unionByName(_weighted(_labelled_by(pool, teachers[v], v), classes)), pupil)
+                  for v, pupil in (("content", "metadata"), ("metadata", "content"))}
     both = held
     for v in models:
         both = _log_odds(both, models[v], v)

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cuelake.llm import (cotraining, exact_dedup, host_rules, jaccard_join, language_crf, mixing, pieces, queries, quotes, secrets,
                          substring_dedup)
@@ -232,6 +233,25 @@ def test_quality_agrees_with_labels(spark):
     assert sum(got[k] == (k % 3 != 0) for k in range(160, 240)) >= 78
 
 
+def test_quality_uses_all_unlabelled_rows_and_rare_classes(spark, monkeypatch):
+    """A pool beyond any cap passes on whole; the labelled sample holds a rare class."""
+    rows = [(k, ("### %%% $$$ && bad" if k % 3 == 0 else f"some decent prose about topic {k % 50} and more") + " word" * (k % 5),
+             "en", "bad" if k % 3 == 0 else f"s{k % 4}", 40) for k in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = spark.createDataFrame([(k, int(k % 3 != 0)) for k in range(600)], "doc_id bigint, quality int")
+    passed = []
+    real = cotraining._weighted
+    monkeypatch.setattr(cotraining, "_weighted", lambda pseudo, labelled: passed.append(pseudo.count()) or real(pseudo, labelled))
+    cotraining.train(df, labels)
+    assert len(passed) == 4 and min(passed) > 8000
+
+    rare = spark.createDataFrame([(k, 0.0 if k < 7 else 1.0) for k in range(5000)], "doc_id bigint, y double")
+    got = {r["y"]: (r["n"], r["w"]) for r in cotraining._sample(rare, 100).groupBy("y").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert got[0.0][0] == 7 and got[1.0][0] == 93
+    assert got[0.0][1] / got[1.0][1] == pytest.approx(7 / 4993)
+
+
 def test_pieces_round_trip_and_seed(docs):
     from sentencepiece import SentencePieceProcessor
 
