@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cuelake.functions.vectors import let  # noqa: F401  (operators import it from here)
@@ -10,6 +15,8 @@ from cuelake.session import scratch_path
 # The characters that separate words, and one word.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
+# Bytes of text a task works on at once; a longer text is worked on alone.
+CHUNK_BYTES = 4_000_000
 
 
 def text_of(text: Column) -> Column:
@@ -39,3 +46,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def row_chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most CHUNK_BYTES in one column, one row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto, start = np.concatenate([[0], np.cumsum(sizes)]), 0
+        while start < len(sizes):
+            stop = max(start + 1, int(np.searchsorted(upto, upto[start] + CHUNK_BYTES, "right")) - 1)
+            yield batch.slice(start, stop - start)
+            start = stop

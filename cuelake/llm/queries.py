@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuelake.llm import (cotraining, exact_dedup, host_rules, jaccard_join, language_crf, mixing, pieces, quotes, secrets,
-                         substring_dedup)
+from cuelake.llm import (byte_bpe, cotraining, exact_dedup, fill_middle, host_rules, jaccard_join, language_crf, mixing, pieces, quotes,
+                         secrets, spelling, substring_dedup)
 from cuelake.llm.common import documents
 from cuelake.plans.registry import Query
 
@@ -129,3 +129,34 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quotation_linking")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.digest(quotes.link(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+@query("op11_segment_tree_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, keep_ids=False).drop("ids")
+
+
+@query("op12_framed_fill_middle", r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS x FROM documents),
+l AS (SELECT doc_id, t, x, CASE WHEN t = '' THEN [] ELSE regexp_extract_all(t, '[^\n]*\n|[^\n]+') END AS lines FROM d),
+h AS (SELECT doc_id, t, lines, len(lines)::BIGINT AS n, ('0x' || x[1:8])::BIGINT % (len(lines) + 1) AS a,
+             ('0x' || x[9:16])::BIGINT % (len(lines) + 1) AS b, ('0x' || x[25:32])::BIGINT % 100 < 50 AS spm FROM l),
+c AS (SELECT *, array_to_string(lines[1:least(a, b)], '') AS p, array_to_string(lines[least(a, b) + 1:greatest(a, b)], '') AS m,
+             array_to_string(lines[greatest(a, b) + 1:], '') AS s,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                  WHEN spm THEN 'spm' ELSE 'psm' END AS form FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256, true AS lossless FROM c
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_middle(documents(spark, sf_dir), keep_output=False).drop("output")
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
