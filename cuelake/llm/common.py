@@ -57,3 +57,17 @@ def row_chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Re
             stop = max(start + 1, int(np.searchsorted(upto, upto[start] + CHUNK_BYTES, "right")) - 1)
             yield batch.slice(start, stop - start)
             start = stop
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, or the first of ``_name``, ``__name``, ... that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def row_key(docs: DataFrame) -> Column:
+    """128 bits of all columns: equal rows have equal keys, whatever their ids."""
+    cols = [docs[c] for c in docs.columns]
+    return F.struct(F.xxhash64(*cols).alias("k1"), F.xxhash64(F.lit(1), *cols).alias("k2"))

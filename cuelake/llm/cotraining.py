@@ -135,7 +135,15 @@ def _weighted(pseudo: DataFrame, labelled: dict[float, float]) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           lang_col: str = "lang", chars_col: str = "n_chars", label_col: str = "quality", max_labelled: int = MAX_LABELLED,
           rounds: int = ROUNDS) -> CoTrained | None:
-    """Co-train on labelled rows and all unlabelled ones; None without both classes."""
+    """Co-train on labelled rows and all unlabelled ones; None without both classes.
+
+    Rows with a null id are unlabelled. An id with several rows (equal or not) has its
+    label with each of them; a label given twice counts as its smaller value. Texts of
+    any length are read whole; names of further columns do not matter.
+    """
+    docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[source_col].alias("source"),
+                       docs[lang_col].alias("lang"), docs[chars_col].alias("n_chars"))
+    id_col, text_col, source_col, lang_col, chars_col = docs.columns
     known = (labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("double").alias("y"))
              .filter("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.min("y").alias("y")))
     # The sample is picked on ids alone before any text is fetched.
@@ -151,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     seen = featured(docs.join(small, docs[id_col] == small["_id"]), F.col("y"), F.col("weight"))
     # The sample is bounded, so a few files hold it.
-    seen = stored(seen.select("doc_id", "y", "weight", "content", "metadata").coalesce(SAMPLE_FILES), "cotrain")
+    seen = stored(seen.select("doc_id", "y", "weight", "content", "metadata").repartition(SAMPLE_FILES), "cotrain")
     features = stages.fit(_featured(docs, id_col, text_col, source_col, lang_col, chars_col))
     seen = seen.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0)
     fit_rows, held = (seen.filter(c).select("y", "content", "metadata", "weight") for c in ("NOT held", "held"))
@@ -183,20 +191,16 @@ def score(docs: DataFrame, model: CoTrained | None, id_col: str = "doc_id", text
     Null and empty texts have no words and are scored by what is left; null metadata
     counts as an empty value; repeated rows score alike; an empty table gives an empty
     result. Without a model (no labels of both classes) everything is accepted with
-    score 1. With ``keep_columns`` the result is the input plus _score and _accepted.
+    score 1. With ``keep_columns`` the result is the rows as ``row`` (a struct of the
+    input's columns, whatever their names), score and accepted.
     """
+    kept = F.struct(*[docs[c] for c in docs.columns]) if keep_columns else docs[id_col]
     if model is None:
-        out = docs.withColumns({"_score": F.lit(1.0), "_accepted": F.lit(True)})
+        out = docs.select(kept.alias("_row"), F.lit(1.0).alias("_score"))
     else:
-        whole = F.struct(*[docs[c] for c in docs.columns]).alias("_row") if keep_columns else F.lit(None).alias("_row")
-        rows = model.features.transform(_featured(docs, id_col, text_col, source_col, lang_col, chars_col, whole)).drop("words", "counts", "tf")
+        rows = model.features.transform(_featured(docs, id_col, text_col, source_col, lang_col, chars_col, kept.alias("_row"))).drop("words", "counts", "tf")
         rows = _log_odds(_log_odds(rows, model.content, "content"), model.metadata, "metadata")
         w_content, w_meta, b = model.weights
         odds = F.col("content_odds") * w_content + F.col("metadata_odds") * w_meta + b
-        out = rows.withColumn("_score", 1 / (1 + F.exp(-odds))).withColumn("_accepted", F.col("_score") >= accept)
-        if keep_columns:
-            return out.select("_row.*", "_score", "_accepted")
-        id_col = "doc_id"
-    if keep_columns:
-        return out
-    return out.select(F.col(id_col).alias("doc_id"), F.col("_score").alias("score"), F.col("_accepted").alias("accepted"))
+        out = rows.withColumn("_score", 1 / (1 + F.exp(-odds)))
+    return out.select(F.col("_row").alias("row" if keep_columns else "doc_id"), F.col("_score").alias("score"), (F.col("_score") >= accept).alias("accepted"))

@@ -14,8 +14,9 @@ prefix (rare keys first), ascending frequency within whole sets, and descending
    costs about one comparison per member.
 3. Documents still sharing a key across components are paired if the key has at most
    ``FEW`` of them. Those of all other keys are ordered once more, by the frequency of
-   the keys of their whole sets among them (see ``_rare_first``), and pairs that meet in
-   those prefixes go on.
+   the keys of their whole sets among them (see ``_rare_first``); documents that meet in
+   those prefixes are paired again where few meet, and else decided group by group, in
+   chunks that give back connecting links only.
 4. A pair must pass the filter of the ascending order (its prefixes share at least ``l``
    keys) and of the descending order before its whole sets are intersected. Every pair not yet connected is decided exactly.
 
@@ -37,6 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from cuelake.llm.common import let, stored, text_of, words
 from cuelake.llm.components import components
+from cuelake.llm.row_ids import ranked_rows
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Keys more than one prefix needs; the most frequent of them may then be dropped.
@@ -113,17 +115,17 @@ def _size_fits(a: Column, b: Column, pct: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * pct)
 
 
-def _rare_first(left: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFrame:
-    """Pairs (a, b) of the documents ``left`` that share a prefix key under the order
-    of ascending frequency of their whole sets.
+def _rare_first(left: DataFrame, sets: DataFrame, pct: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """What the documents ``left`` leave to be told apart, where they share a prefix key
+    under the order of ascending frequency of their whole sets: pairs (a, b) to verify,
+    and links (a, b) already decided.
 
     Keys of one document take the first places of its order and join nothing, so only
-    their number matters. What is specific to a document thus fills its prefix, so a
-    large group of documents that differ from each other a little more than allowed makes
-    fewer pairs, the more keys of its own each member has; members with few of them
-    still make pairs by the square of the group. A pair needs ``o`` common keys by its two sizes, so its first common
-    one is within the first ``n - o + 1`` places of both. Places are counted from the
-    last, so an id with several texts gets places that are at most too low.
+    their number matters. A pair needs ``o`` common keys by its two sizes, so its first
+    common one is within the first ``n - o + 1`` places of both. Places are counted from
+    the last. Documents of a key with at most FEW of them are paired; the others fall
+    into groups connected by such keys, and groups are decided without listing pairs
+    (``_group_links``).
     """
     rows = _only(sets, left).select("id", F.explode("keys").alias("key"))
     often = rows.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
@@ -133,20 +135,69 @@ def _rare_first(left: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFr
     placed = first.select("id", "n", "comp", "alone", F.posexplode(F.slice("keys", 1, room)).alias("i", "k")).select(
         "id", "n", "comp", F.col("k.key").alias("key"), (F.col("alone") + F.col("i") + 1).alias("place"))
     placed = stored(placed, f"{name}-placed")
+    mixed = stored(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("docs"),
+                                             F.min("id").alias("first")).filter("lo <> hi").drop("lo", "hi"), f"{name}-mixed")
+    hubs = placed.join(mixed.filter(F.col("docs") > FEW), "key").select("id", "first", "comp")
+    links = _group_links(hubs, left, sets, pct, name)
+    few = placed.join(mixed.filter(F.col("docs") <= FEW).select("key"), "key")
     # The smaller set's place is bounded by its own size alone, so fewer rows are met than look.
     half = F.ceil(F.col("n") * F.lit(2 * pct) / F.lit(100 + pct))
-    other = placed.filter(F.col("place") <= F.col("n") - half + 1).select(
+    other = few.filter(F.col("place") <= F.col("n") - half + 1).select(
         "key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("place").alias("place2"))
     need = F.ceil((F.col("n") + F.col("n2")) * F.lit(pct) / F.lit(100 + pct))
     smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("id2") < F.col("id")))
-    met = placed.join(other, "key").filter(smaller & (F.col("comp") != F.col("comp2")) & _size_fits(F.col("n"), F.col("n2"), pct)
-                                           & (F.col("place") <= F.col("n") - need + 1) & (F.col("place2") <= F.col("n2") - need + 1))
-    return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
+    met = few.join(other, "key").filter(smaller & (F.col("comp") != F.col("comp2")) & _size_fits(F.col("n"), F.col("n2"), pct)
+                                        & (F.col("place") <= F.col("n") - need + 1) & (F.col("place2") <= F.col("n2") - need + 1))
+    return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")), links
 
 
-def _linked_rows(keys: np.ndarray, lens: np.ndarray, left: np.ndarray, rows: np.ndarray, within: bool, pct: int) -> np.ndarray:
-    """Rows that each set links with, among all pairs of a left and another set, or
-    (``within``) among all pairs. ``keys`` holds the sets end to end."""
+def _group_links(hubs: DataFrame, left: DataFrame, sets: DataFrame, pct: int, name: str) -> DataFrame:
+    """Links (a, b) that join all documents of a group that links join.
+
+    ``hubs`` has a document with the first one of a key. A group is dealt out in chunks; a
+    task holds two of them, decides all their pairs exactly, and gives back no more
+    links than connect them: rows grow with the chunks of a group, not with its pairs.
+    """
+    edges = hubs.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    groups = components(edges, f"{name}-groups").withColumnRenamed("comp", "grp")
+    members = stored(left.join(groups, "id"), f"{name}-members")
+    width = members.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / CHUNK_DOCS), F.ceil(F.sum("n") / CHUNK_KEYS)).cast("int").alias("parts"))
+    dealt = stored(members.join(width, "grp").withColumn("side", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), f"{name}-dealt")
+    rows = (_only(sets, dealt).join(dealt, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("grp", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp", "keys"))
+    key = ["grp", "i", "j"]
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_per_chunk_pair("grp", _connect(pct)), "a bigint, b bigint")
+
+
+def _connect(pct: int):
+    """Links between different components of two chunks, no more than connect what links."""
+    def of(t: pa.Table) -> pa.RecordBatch:
+        side, i, j, ids, comp = (t.column(c).to_numpy() for c in ("side", "i", "j", "id", "comp"))
+        keys = t.column("keys").combine_chunks()
+        lens, flat = keys.value_lengths().to_numpy().astype(np.int64), keys.flatten().to_numpy()
+        a, b, link = _links_of(flat, lens, side == i, bool(i[0] == j[0]), pct)
+        x, y = np.nonzero(link & (comp[a][:, None] != comp[b][None, :]))
+        up = {}
+
+        def root(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        found = []
+        for p, q in zip(a[x].tolist(), b[y].tolist()):
+            c, d = root(int(comp[p])), root(int(comp[q]))
+            if c != d:
+                up[max(c, d)] = min(c, d)
+                found.append((int(ids[p]), int(ids[q])))
+        lo, hi = ([f(e) for e in found] for f in (min, max))
+        return pa.RecordBatch.from_arrays([pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["a", "b"])
+    return of
+
+
+def _links_of(keys: np.ndarray, lens: np.ndarray, left: np.ndarray, within: bool, pct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of the left sets (a) link with which of the others (b), or (``within``) which
+    of all with which of all: a, b, link. ``keys`` holds the sets end to end."""
     m = len(lens)
     a = np.arange(m) if within else np.nonzero(left)[0]
     b = a if within else np.nonzero(~left)[0]
@@ -172,7 +223,13 @@ def _linked_rows(keys: np.ndarray, lens: np.ndarray, left: np.ndarray, rows: np.
     link = shared * 100 >= (lens[a][:, None] + lens[b][None, :] - shared) * pct
     if within:
         np.fill_diagonal(link, False)
-    out = np.zeros(m, np.int64)
+    return a, b, link
+
+
+def _linked_rows(keys: np.ndarray, lens: np.ndarray, left: np.ndarray, rows: np.ndarray, within: bool, pct: int) -> np.ndarray:
+    """Rows that each set links with, among the same pairs."""
+    a, b, link = _links_of(keys, lens, left, within, pct)
+    out = np.zeros(len(lens), np.int64)
     out[a] = link @ rows[b]
     if not within:
         out[b] = rows[a] @ link
@@ -180,14 +237,18 @@ def _linked_rows(keys: np.ndarray, lens: np.ndarray, left: np.ndarray, rows: np.
 
 
 def _count_links(pct: int):
-    """Links of each set with those of the same (comp, i, j), sorted by these."""
+    """Links of each set with those of the same two chunks."""
     def of(t: pa.Table) -> pa.RecordBatch:
         side, i, j, rows = (t.column(c).to_numpy() for c in ("side", "i", "j", "rows"))
         keys = t.column("keys").combine_chunks()
         lens, flat = keys.value_lengths().to_numpy().astype(np.int64), keys.flatten().to_numpy()
         n = _linked_rows(flat, lens, side == i, rows, bool(i[0] == j[0]), pct)
         return pa.RecordBatch.from_arrays([*(t.column(c).combine_chunks() for c in ("n", "h1", "h2")), pa.array(n)], ["n", "h1", "h2", "links"])
+    return of
+
 
+def _per_chunk_pair(group: str, of):
+    """``of`` each run of rows of one (group, i, j); rows come sorted by these."""
     def run(batches):
         held = None
         for batch in batches:
@@ -195,7 +256,7 @@ def _count_links(pct: int):
                 continue
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            edge = np.any([np.diff(held.column(c).to_numpy()) != 0 for c in ("comp", "i", "j")], axis=0)
+            edge = np.any([np.diff(held.column(c).to_numpy()) != 0 for c in (group, "i", "j")], axis=0)
             at = 0
             for cut in (np.nonzero(edge)[0] + 1).tolist():
                 yield of(held.slice(at, cut - at))
@@ -222,26 +283,37 @@ def link_counts(reps: DataFrame, sets: DataFrame, comps: DataFrame, n: int, pct:
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("comp", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", *same, "rows", "keys"))
     counted = rows.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(
-        _count_links(pct), "n int, h1 bigint, h2 bigint, links bigint")
+        _per_chunk_pair("comp", _count_links(pct)), "n int, h1 bigint, h2 bigint, links bigint")
     return stored(counted.groupBy(*same).agg(F.sum("links").alias("links")), f"{name}-counts")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, pct: int = 80,
-                    name: str = "jaccard", count_links: bool = False) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id and, if asked, n_links.
+                    name: str = "jaccard", count_links: bool = False, carry: Column | None = None) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id and, if asked, n_links; kept.
 
     ``component_id`` is the smallest id reachable over links (100 * intersection >=
     pct * union), the row's own included. Null or empty texts have empty sets and link
     with nothing; so do rows with a null id (null component); rows repeating an id with
-    another text are judged by their own text; an empty table gives an empty result;
-    further columns are ignored. ``n_links`` is the number of other rows (with an id)
-    that the row links with, rows of an equal set included.
+    another text are judged by their own text; texts of any length are read whole; an
+    empty table gives an empty result; further columns are ignored. ``n_links`` is the
+    number of other rows (with an id) that the row links with, rows of an equal set
+    included. ``kept`` marks the rows of a component's smallest id; where that id has
+    several texts, those of one of them. ``carry`` is a column of the input returned as
+    ``carried``.
     """
+    more = [] if carry is None else [carry.alias("carried")]
     base = stored(docs.select(docs[id_col].cast("bigint").alias("doc_id"), let(shingle_keys(docs[text_col], n), lambda k: F.struct(
         F.size(k).alias("n"), F.xxhash64(k).alias("h1"), F.xxhash64(F.lit(n), k).alias("h2"),
-        F.slice(k, 1, F.least(F.size(k), F.size(k) - _overlap(F.size(k), pct) + SPARE)).alias("prefix"))).alias("s"))
-        .select("doc_id", "s.*"), f"{name}-base")
+        F.slice(k, 1, F.least(F.size(k), F.size(k) - _overlap(F.size(k), pct) + SPARE)).alias("prefix"))).alias("s"), *more)
+        .select("doc_id", "s.*", *(["carried"] if more else [])), f"{name}-base")
     same = ["n", "h1", "h2"]
+    of_id = base.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*same)).alias("lo"), F.max(F.struct(*same)).alias("hi"))
+    if not of_id.filter("lo <> hi").isEmpty():
+        rows, names = ranked_rows(docs, id_col, text_col, name, *more)
+        done = near_duplicates(rows, "rank", "text", n, pct, f"{name}-ranked", count_links, rows["carried"] if more else None)
+        own, top = names.select(F.col("rank").alias("doc_id"), "id"), names.select(F.col("rank").alias("component_id"), F.col("id").alias("top"))
+        return done.join(own, "doc_id", "left").join(top, "component_id", "left").select(
+            F.col("id").alias("doc_id"), "n_shingles", F.col("top").alias("component_id"), *done.columns[3:])
     reps = stored(base.filter("doc_id IS NOT NULL AND n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), f"{name}-reps")
     unique = (base.join(reps, same).filter("doc_id = rep").dropDuplicates(["doc_id", *same])
               .select(F.col("doc_id").alias("id"), "n", "prefix"))
@@ -287,23 +359,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             direct = (few.join(other, "key").filter((F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & _size_fits(F.col("n"), F.col("n2"), pct))
                       .select(F.col("id").alias("a"), F.col("id2").alias("b")))
             left = stored(rest.filter(F.col("docs") > FEW).select("id", "n", "comp").distinct(), f"{name}-left")
-            pairs = direct.unionByName(_rare_first(left, sets, pct, name)).distinct()
+            paired, decided = _rare_first(left, sets, pct, name)
+            pairs = direct.unionByName(paired).distinct()
+            grouped = stored(decided, f"{name}-grouped")
+            if not grouped.isEmpty():
+                links = grouped if links is None else links.unionByName(grouped)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, f"{name}-pairs{turn}")
         if not pairs.isEmpty():
             found = stored(_verified(pairs, heads, sets, pct, f"{name}{turn}"), f"{name}-links{turn}")
             links = found if links is None else links.unionByName(found)
+        if links is not None:
             comps = stored(components(links, f"{name}-cc{turn}"), f"{name}-comps{turn}")
         tried = pairs if tried is None else tried.unionByName(pairs)
     of = base.join(reps.filter("rows > 1"), same, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     if comps is not None:
         of = of.join(comps, of["rep"] == comps["id"], "left").withColumn("rep", F.coalesce("comp", "rep"))
-    out = ["doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.col("rep").alias("component_id")]
+    out = ["doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("component_id")]
     if count_links:
         others = F.coalesce(F.col("rows") - 1, F.lit(0))
         if comps is not None:
             of = of.join(link_counts(reps, sets, comps, n, pct, f"{name}-count"), same, "left")
             others = others + F.coalesce("links", F.lit(0))
         out.append(F.when(F.col("doc_id").isNull(), 0).otherwise(others).cast("bigint").alias("n_links"))
-    return of.select(*out)
+    out.append((F.col("doc_id").isNull() | (F.col("doc_id") == F.col("rep"))).alias("kept"))
+    return of.select(*out, *(["carried"] if more else []))

@@ -18,7 +18,6 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -88,7 +87,9 @@ def features(words: list[str], lexicon: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
-    return pd.util.hash_array(np.array(words, dtype=object), categorize=False)
+    from pandas.util import hash_array  # in tasks only; the driver does without
+
+    return hash_array(np.array(words, dtype=object), categorize=False)
 
 
 def emissions(model: Model, words: list[str]) -> np.ndarray:
@@ -185,6 +186,8 @@ def _spliced(docs: list[tuple[int, list[str]]], rng) -> tuple[list[list[str]], l
 
 
 def _train_shard(model: Model, docs: list[tuple[int, list[str]]], seed: int) -> tuple[np.ndarray, np.ndarray, int]:
+    from pandas import factorize
+
     rng = np.random.default_rng(seed)
     texts, labels = _spliced(docs, rng)
     n_labels = len(model.labels)
@@ -192,7 +195,7 @@ def _train_shard(model: Model, docs: list[tuple[int, list[str]]], seed: int) ->
     g_emit, g_move = np.full(emit.shape, 1e-2), np.full(move.shape, 1.0)
     for at in range(0, len(texts), BATCH):
         batch, gold = texts[at:at + BATCH], np.stack(labels[at:at + BATCH])
-        codes, names = pd.factorize(np.array([w for t in batch for w in t], dtype=object))
+        codes, names = factorize(np.array([w for t in batch for w in t], dtype=object))
         feature, owner = features(list(names), model.lexicon)
         scale = 1 / np.sqrt(np.maximum(1, np.bincount(owner, minlength=len(names))))
         score = np.stack([np.bincount(owner, weights=emit[feature, k], minlength=len(names)) for k in range(n_labels)], 1) * scale[:, None]
@@ -212,7 +215,9 @@ def _train_shard(model: Model, docs: list[tuple[int, list[str]]], seed: int) ->
 
 
 def _shard_fit(held, turn: int):
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit(pdf):
+        import pandas as pd
+
         pdf = pdf.sort_values(["label", "text"])
         docs = [(int(k), LETTERS.findall(t.lower())) for k, t in zip(pdf["label"], pdf["text"])]
         shard = int(pdf["shard"].iloc[0])
@@ -225,14 +230,16 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
           shards: int = SHARDS, rounds: int = ROUNDS) -> Model | None:
     """Fit on at most ``per_label`` documents of each label, chosen by hash of the id.
 
-    Whole documents are used. None when nothing is labelled.
+    Whole documents are used. None when nothing is labelled; more than MAX_LABELS labels
+    are refused, none is left out.
     """
     spark = labelled.sparkSession
     rows = labelled.select(labelled[id_col].alias("id"), labelled[label_col].cast("string").alias("label"),
                            labelled[text_col].cast("string").alias("text")).filter("id IS NOT NULL AND label IS NOT NULL AND text IS NOT NULL")
-    # Labels are a short list; beyond MAX_LABELS the most frequent are learned.
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LABELS).collect()
-    labels = sorted(r["label"] for r in counts)
+    # All labels are learned: their weights are one table on the driver, so not too many.
+    labels = sorted(r["label"] for r in rows.select("label").distinct().limit(MAX_LABELS + 1).collect())
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels: the weights would not fit one driver")
     if not labels:
         return None
     # Ids are picked first, so that only the sample's texts move.
@@ -266,12 +273,14 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def label_texts(model: Model, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
     """Words of each text, all label distributions end to end, and words per text."""
+    from pandas import factorize
+
     found = [LETTERS.findall(t.lower()) if t else [] for t in texts]
     lens = np.array([len(f) for f in found], np.int64)
     flat = [w for f in found for w in f]
     if not flat:
         return found, np.zeros((0, len(model.labels))), lens
-    codes, names = pd.factorize(np.array(flat, dtype=object))
+    codes, names = factorize(np.array(flat, dtype=object))
     scores = emissions(model, list(names))[codes]
     some = lens > 0
     return found, marginals(scores, lens[some], model.move), lens

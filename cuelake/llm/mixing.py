@@ -100,22 +100,25 @@ def fit_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> Dat
             F.when(F.col("gap2") <= TOLERANCE, F.col("lam")).when(ok, newton).otherwise(half).alias("lam"),
             F.coalesce("lo2", "lo").alias("lo"), F.coalesce("hi2", "hi").alias("hi"), F.col("gap2").alias("gap")), f"dual{k}")
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= TOLERANCE:
-            break
-    return state
+            return state
+    raise RuntimeError(f"targets not met to {TOLERANCE} after {MAX_NEWTON} rounds")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+        weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, carry: Column | None = None) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, rate, copies, taken.
 
     Null text has no words (rate 1, nothing taken); null sources form a source of their
-    own, last; repeated rows are rounded one by one; an empty table gives an empty
-    result; further columns are ignored. ``copies`` is at most ``cap``.
+    own, last; repeated rows and ids are rounded one by one; texts of any length count
+    whole; rows of equal size are rounded in order of id and place; an empty table gives
+    an empty result; further columns are ignored. ``copies`` is at most ``cap``.
+    ``carry`` is a column of the input returned as ``carried``.
     """
     source = docs[source_col].cast("string")
     rows = stored(docs.select(
         docs[id_col].alias("doc_id"), source.alias("source"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"),
-        F.size(words(docs[text_col])).cast("bigint").alias("size"), F.monotonically_increasing_id().alias("row")), "sizes")
+        F.size(words(docs[text_col])).cast("bigint").alias("size"), F.monotonically_increasing_id().alias("row"),
+        *([] if carry is None else [carry.alias("carried")])), "sizes")
     cells = stored(rows.groupBy("key", "source", "size").agg(F.count("*").alias("n")), "cells")
     sizes = cells.groupBy("key", "source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"),
                                                F.max("size").alias("largest"), F.sum("n").alias("n"))
@@ -140,4 +143,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     best = misses.select("key", "n", ((F.array_position(off, F.array_min(off)) - 1) * (UNIT // OFFSETS)).alias("_offset"))
     done = attach_per_key(laid, best, "key", F.col("row")).withColumn("copies", copies(F.col("_offset")))
     return done.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                       (F.col("size") * F.col("copies")).alias("taken"))
+                       (F.col("size") * F.col("copies")).alias("taken"), *([] if carry is None else ["carried"]))

@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -107,7 +106,9 @@ def _candidate(word, start, mid, end):
 
 def _word_keys(words: list[str], seed: int, variants: np.ndarray) -> np.ndarray:
     """One 64-bit key per (seed, variant, word)."""
-    own = pd.util.hash_array(np.array(words, dtype=object), hash_key="merge-dropout-01", categorize=False)
+    from pandas.util import hash_array  # in tasks only; the driver does without
+
+    own = hash_array(np.array(words, dtype=object), hash_key="merge-dropout-01", categorize=False)
     return _mix(own ^ _mix((variants.astype(np.uint64) << np.uint64(32)) ^ np.uint64(seed & 0xFFFFFFFF)))
 
 
@@ -240,8 +241,10 @@ def encode_texts(p: Pieces, texts: list[str], variants: np.ndarray, seed: int, d
     flat = [w for g in groups for w in g]
     if not flat:
         return [np.zeros(0, np.int32) for _ in texts]
+    from pandas import factorize
+
     # The closing number keeps pandas from its table of C strings, which end at a NUL.
-    codes, names = pd.factorize(np.array([*flat, 0], dtype=object))
+    codes, names = factorize(np.array([*flat, 0], dtype=object))
     codes = codes[:-1]
     variant = np.repeat(variants, counts)
     wide = int(variants.max()) + 1

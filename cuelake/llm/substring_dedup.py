@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cuelake.llm.common import stored, text_of
 from cuelake.llm.exact_dedup import exact_duplicates
+from cuelake.llm.row_ids import ranked_rows
 
 WIDTH = 100
 GRAM = 32
@@ -291,13 +292,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Null texts count as empty; rows with a null id are returned whole (no order says
-    what comes before them); rows repeating an id and text are treated alike; ids are
-    otherwise taken as unique; an empty table gives an empty result; further columns
-    are ignored.
+    what comes before them); rows repeating an id and text are treated alike; different
+    texts of one id follow each other by digest; texts of any length are read whole; an
+    empty table gives an empty result; further columns are ignored.
     """
     known = docs.filter(docs[id_col].isNotNull())
-    equal = stored(exact_duplicates(known, id_col, text_col, keep="smallest", name=name).select(
-        F.col("doc_id").alias("id"), (F.col("doc_id") == F.col("keep_id")).alias("first")).dropDuplicates(["id"]), f"{name}-equal")
+    own = stored(exact_duplicates(known, id_col, text_col, keep="smallest", name=name).select(
+        F.col("doc_id").alias("id"), "text_sha256", (F.col("doc_id") == F.col("keep_id")).alias("first")), f"{name}-equal")
+    if not own.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        rows, names = ranked_rows(docs, id_col, text_col, name)
+        given, lone = rows.filter("rank IS NOT NULL"), rows.filter("rank IS NULL")
+        done = stored(remove_repeats(given.dropDuplicates(["rank"]).unionByName(lone), "rank", "text", f"{name}-ranked"), f"{name}-unique")
+        back = given.select(F.col("rank").alias("doc_id")).join(done, "doc_id").join(names, F.col("doc_id") == F.col("rank"))
+        return back.select(F.col("id").alias("doc_id"), *done.columns[1:]).unionByName(done.filter("doc_id IS NULL"))
+    equal = own.select("id", "first")
     texts = docs.select(docs[id_col].cast("bigint").alias("id"), text_of(docs[text_col]).cast("binary").alias("text"))
     later = equal.filter("NOT first").select("id")
     owners = _only(texts.filter("id IS NOT NULL"), later, "left_anti")

@@ -82,9 +82,11 @@ def test_jaccard_join_near_copies(spark):
         assert got == linked(key_sets(rows, n), pct)
 
 
-def test_jaccard_join_many_below_the_threshold(spark, monkeypatch):
-    """A large group just below the threshold with some links in it, ordered once more."""
+@pytest.mark.parametrize("chunk", [256, 7])
+def test_jaccard_join_many_below_the_threshold(spark, monkeypatch, chunk):
+    """A large group just below the threshold with some links in it, ordered once more and decided in chunks."""
     monkeypatch.setattr(jaccard_join, "FEW", 4)
+    monkeypatch.setattr(jaccard_join, "CHUNK_DOCS", chunk)
     rng = np.random.default_rng(5)
     words = [f"w{k}" for k in range(120)]
     rows = []
