@@ -74,7 +74,7 @@ def _with_words(s: Column, fire: Column, change) -> Column:
 
 
 def variant(text: Column, h1: Column, h2: Column, h3: Column) -> Column:
-    """One rephrasing. Fillers and stutters go inside, hedges and tails around."""
+    """One rephrasing: changed words first, then what is put before and after them."""
     s = _with_words(text, uniform(h1, 0) < P_FILLER,
                     lambda s0, ws: insert_filler(s0, ws, uniform(h1, 1), uniform(h1, 2)))
     s = _with_words(s, uniform(h1, 3) < P_STUTTER,
@@ -85,12 +85,12 @@ def variant(text: Column, h1: Column, h2: Column, h3: Column) -> Column:
     return T.collapse_whitespace(_maybe_drop_closing_punct(F.concat(hedge, s, tail), uniform(h3, 2) < P_PUNCT))
 
 
-def chain(text: Column, partner: Column, intent: Column, h1: Column, h2: Column) -> Column:
+def chain(text: Column, partner: Column, intent: Column, h1: Column, h2: Column, chainable: list[str] | None = None) -> Column:
     """Two same-class texts joined into one; NULL without a partner or where joining
-    would change the class."""
+    would change the class (any but the ``chainable`` ones)."""
     def side(x, u):
         return T.drop_closing_punct(_maybe_drop_apostrophes(x, u < P_CHAIN_APOSTROPHES))
     joined = F.concat(side(text, uniform(h1, 0)), F.lit(CHAIN_LINK), side(partner, uniform(h1, 1)))
     out = _with_words(joined, uniform(h1, 2) < P_CHAIN_FILLER,
                       lambda s0, ws: insert_filler(s0, ws, uniform(h1, 3), uniform(h2, 0)))
-    return F.when(intent.isin(CHAINABLE), T.collapse_whitespace(out))
+    return F.when(intent.isin(CHAINABLE if chainable is None else chainable), T.collapse_whitespace(out))

@@ -1,18 +1,23 @@
 """Augmentation: up to two new spoken-style variants per training row.
 
-Candidates move through the shuffle as digests only. A key belongs to the first
-(row, attempt) that produced it, decided by one aggregate that also holds the blocked
-keys (they enter as owner -1); a row keeps its first attempts that own their key, and
-only then are the kept texts built.
+Every attempt that chains draws a partner of its own from a directory of its class, in
+which rows are addressed by their place. Candidates move through the shuffle as digests
+only; rows then claim their first usable variants in turn (``claims``), and only the
+texts they keep are built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cuelake.functions import disfluency as D, keys as K, labels as L
 from cuelake.functions.draws import draw_hash, pick_index, uniform
+from cuelake.operators.claims import Claims, claim_in_turn
+from cuelake.operators.ranks import positions
 from cuelake.operators.skew import attach_per_key
+from cuelake.session import written
 
 ATTEMPTS = 12
 PER_ROW = 2
@@ -37,54 +42,88 @@ def with_partner(rows: DataFrame, id_col: str, seed: int, bucket_rows: int = BUC
     return dealt.withColumn("partner", F.when(nxt != F.col("text"), nxt)).select(*rows.columns, "partner")
 
 
-def _with_attempt_text(tries: DataFrame, id_col: str, seed: int) -> DataFrame:
-    """Add ``variant`` for column ``attempt``; NULL when a chain finds no partner."""
-    names = ["_h0", "_h1", "_h2", "_h3"]
-    drawn = tries.withColumns({n: draw_hash(seed, F.col(id_col), F.col("attempt"), i)
-                               for i, n in enumerate(names)})
-    h0, h1, h2, h3 = (F.col(n) for n in names)
-    text = F.when(F.col("has_partners") & (uniform(h0, 0) < D.P_CHAIN),
-                  D.chain(F.col("text"), F.col("partner"), F.col("intent"), h1, h2)).otherwise(
-        D.variant(F.col("text"), h1, h2, h3))
-    return drawn.withColumn("variant", text).drop(*names)
+@dataclass
+class Directory:
+    """Rows of every class by place: (intent, place, text), and the classes' sizes (intent, n)."""
 
+    rows: DataFrame
+    sizes: DataFrame
 
-def augment(examples: DataFrame, holdout: DataFrame, id_col: str = "seq", seed: int = 0,
-            per_row: int = PER_ROW, attempts: int = ATTEMPTS,
-            bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Variants as (id, attempt, text, intent) of examples (id, text, intent).
 
-    A variant's loose key is never empty, never its source's key, never a holdout key,
-    and unique in the output. The reject label is not augmented.
-    """
-    base = examples.select(id_col, "text", "intent").filter(F.col("intent").isin(L.REAL_INTENTS))
-    can_chain = F.col("intent").isin(L.CHAINABLE)
-    class_sizes = base.filter(can_chain).groupBy("intent").agg(F.count(F.lit(1)).alias("_n"))
-    paired = with_partner(base.filter(can_chain), id_col, seed, bucket_rows).join(
-        F.broadcast(class_sizes), "intent").withColumn("has_partners", F.col("_n") > 1).drop("_n")
-    plain = (base.filter(~can_chain).withColumn("partner", F.lit(None).cast("string"))
-             .withColumn("has_partners", F.lit(False)))
-    rows = paired.select(*plain.columns).unionByName(plain)
+def directory(rows: DataFrame, id_col: str, seed: int) -> Directory:
+    """Places are ranks of a hash of the id, so they do not depend on how rows are dealt."""
+    hashed = rows.select("intent", "text", F.col(id_col).alias("_id"), draw_hash(seed, F.col(id_col), "place").alias("_h"))
+    placed = positions(hashed, "intent", ["_h", "_id"], "place").select("intent", "place", "text")
+    return Directory(written(placed, "directory"), rows.groupBy("intent").agg(F.count(F.lit(1)).alias("n")))
+
 
+def attempt_partners(tries: DataFrame, known: Directory, id_col: str, seed: int) -> DataFrame:
+    """Add ``partner`` for column ``attempt``: the text at a drawn place of the row's class.
+
+    Every attempt draws anew, over the whole class, the row itself included; NULL when
+    the text drawn is the row's own. Looked up by (class, place), which no two rows of
+    the directory share, so a class of any size is spread over all tasks.
+    """
+    sizes = known.sizes.withColumn("_size", F.col("n"))
+    u = uniform(draw_hash(seed, F.col(id_col), F.col("attempt"), "partner"))
+    drawn = attach_per_key(tries, sizes, "intent", F.col(id_col)).withColumn("_place", pick_index(u, F.col("_size")).cast("long"))
+    there = known.rows.select(F.col("intent").alias("_class"), "place", F.col("text").alias("_text"))
+    found = drawn.join(there, (F.col("intent") == F.col("_class")) & (F.col("_place") == F.col("place")), "left")
+    return found.select(*tries.columns, F.when(F.col("_text") != F.col("text"), F.col("_text")).alias("partner"))
+
+
+def _with_variants(tries: DataFrame, known: Directory, id_col: str, seed: int, chainable: list[str]) -> DataFrame:
+    """Add ``variant`` to (id, attempt, text, intent, chains); NULL when a chain drew its own text."""
+    h0, h1, h2, h3 = (draw_hash(seed, F.col(id_col), F.col("attempt"), i) for i in range(4))
+    chained = F.coalesce(F.col("chains") & (uniform(h0, 0) < D.P_CHAIN), F.lit(False))
+    marked = tries.withColumn("_chained", chained)
+    hashes = {"_h1": h1, "_h2": h2, "_h3": h3}
+    pairs = attempt_partners(marked.filter("_chained"), known, id_col, seed).withColumns(hashes).withColumn(
+        "variant", D.chain(F.col("text"), F.col("partner"), F.col("intent"), F.col("_h1"), F.col("_h2"), chainable))
+    singles = marked.filter("NOT _chained").withColumns(hashes).withColumn("variant", D.variant(F.col("text"), F.col("_h1"), F.col("_h2"), F.col("_h3")))
+    columns = [*tries.columns, "variant"]
+    return singles.select(*columns).unionByName(pairs.select(*columns))
+
+
+@dataclass
+class Augmented:
+    rows: DataFrame  # id, attempt, text, intent
+    rounds: int
+
+
+def augment_in_turn(examples: DataFrame, holdout: DataFrame, id_col: str = "seq", seed: int = 0, per_row: int = PER_ROW,
+                    attempts: int = ATTEMPTS, labels: list[str] | None = None, chainable: list[str] | None = None) -> Augmented:
+    """Variants of examples (id, text, intent), as a loop over the rows by id would keep them.
+
+    Each row takes its first ``per_row`` of ``attempts`` variants whose loose key is not
+    empty, not its source's, not in the holdout and not taken by an earlier row or
+    attempt. Only ``labels`` are augmented and only ``chainable`` ones chained; a class of
+    one row is not chained. Ids are unique.
+    """
+    labels = L.REAL_INTENTS if labels is None else labels
+    chainable = L.CHAINABLE if chainable is None else chainable
+    base = examples.select(F.col(id_col).cast("long").alias(id_col), "text", "intent").filter(F.col("intent").isin(labels))
+    # The source's own key is made once a row, not once an attempt.
+    keyed = base.withColumn("_own", K.digest(K.key_loose(F.col("text"))))
+    known = directory(base.filter(F.col("intent").isin(chainable)), id_col, seed)
+    chains = known.sizes.withColumn("chains", F.col("n") > 1)
+    rows = written(attach_per_key(keyed, chains, "intent", F.col(id_col)), "sources")
     tries = rows.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
-    keyed = _with_attempt_text(tries, id_col, seed).select(
-        F.col(id_col).cast("long").alias(id_col), "attempt", K.key_loose(F.col("text")).alias("_own"),
-        K.key_loose(F.col("variant")).alias("_loose"))
-    # Unusable attempts share the NULL key and leave after the aggregate: a filter here
-    # would be pushed down and build every variant a second time.
-    usable = (F.col("_loose") != "") & (F.col("_loose") != F.col("_own"))
-    cands = keyed.select(id_col, "attempt", F.when(usable, K.digest(F.col("_loose"))).alias("_key"))
-    blocked = holdout.select(F.lit(-1).cast("long").alias(id_col), F.lit(0).alias("attempt"),
-                             K.digest(K.key_loose(F.col("text"))).alias("_key"))
-    owners = (cands.unionByName(blocked).groupBy("_key")
-              .agg(F.min(F.struct(id_col, "attempt")).alias("_o"), F.count("_key").alias("_n"))
-              .filter("_n > 0").select("_o.*").filter(F.col(id_col) >= 0))
-    # At most ``attempts`` entries per row, so the array is small.
-    kept = owners.groupBy(id_col).agg(F.array_sort(F.collect_list("attempt")).alias("_a"))
-    kept = kept.select(id_col, F.slice("_a", 1, per_row).alias("_a"))
-    chosen = rows.join(kept, id_col).withColumn("attempt", F.explode("_a"))
-    return _with_attempt_text(chosen, id_col, seed).select(
-        id_col, "attempt", F.col("variant").alias("text"), "intent")
+    loose = _with_variants(tries, known, id_col, seed, chainable).select(id_col, "attempt", "_own", K.key_loose(F.col("variant")).alias("_loose"))
+    # Unusable attempts get a NULL key here and leave there: a filter on the key in this
+    # place would be pushed down and build every variant a second time.
+    key = F.when(F.col("_loose") != "", K.digest(F.col("_loose")))
+    candidates = written(loose.select(id_col, "attempt", "_own", key.alias("key")), "candidates").filter("key <> _own").drop("_own")
+    claims: Claims = claim_in_turn(candidates, holdout.select(K.digest(K.key_loose(F.col("text"))).alias("key")), id_col, per_row)
+    chosen = rows.join(claims.kept.select(id_col, "attempt"), id_col)
+    made = _with_variants(chosen, known, id_col, seed, chainable)
+    return Augmented(made.select(id_col, "attempt", F.col("variant").alias("text"), "intent"), claims.rounds)
+
+
+def augment(examples: DataFrame, holdout: DataFrame, id_col: str = "seq", seed: int = 0, per_row: int = PER_ROW,
+            attempts: int = ATTEMPTS, labels: list[str] | None = None, chainable: list[str] | None = None) -> DataFrame:
+    """The rows of ``augment_in_turn``."""
+    return augment_in_turn(examples, holdout, id_col, seed, per_row, attempts, labels, chainable).rows
 
 
 def counts_by_intent(augmented: DataFrame) -> DataFrame:

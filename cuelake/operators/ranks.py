@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cuelake.functions.draws import draw_hash
 from cuelake.operators.skew import small_enough
+from cuelake.session import written
 
 HEX_DIGITS = 5          # 16**5 buckets: a cut bucket holds about a millionth of a group
 SKETCH_ACCURACY = 100_000
@@ -89,6 +90,21 @@ def shuffled(rows: DataFrame, id_col: str, seed: int) -> DataFrame:
             .orderBy("_h", id_col).drop("_h"))
 
 
+def positions(rows: DataFrame, group: str, order: list[str], out: str = "pos") -> DataFrame:
+    """Add each row's 0-based place in its group, in a total order, without one task per group.
+
+    Rows are cut into ranges of (group, order); a range knows how many rows of its group
+    come before it, from one count per range and group.
+    """
+    ranged = written(rows.repartitionByRange(group, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = W.partitionBy(group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy(group, "_range").orderBy(*order)) - 1
+    placed = ranged.withColumn("_inside", inside).join(before, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
+    return placed.select(*rows.columns, (F.col("_inside") + F.col("_before")).cast("long").alias(out))
+
+
 def kth_values(rows: DataFrame, value: str, groups: list[str],
                ranks: dict[str, tuple[float, Column]], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Exact order statistics per group: ``n`` and one column per name.

@@ -10,7 +10,7 @@ from cuelake.operators import (augment as A, calibrate as C, curate as U, fit as
 from cuelake.plans import roles as R
 from cuelake.plans.aggregate_queries import (COUNTS_SQL, DIM_SQL, INGEST_SQL, LABELS_SQL, ece_sql, judged,
                                              r6, report_sql)
-from cuelake.plans.join_queries import COARSE_SQL, partner_sql
+from cuelake.plans.join_queries import COARSE_SQL, attempt_partner_sql
 from cuelake.plans.registry import query
 from cuelake.plans.text_queries import _weak_sql, chain_sql, variant_sql
 
@@ -46,18 +46,23 @@ def teacher_queue(spark, sf):
 # --- augmentation ----------------------------------------------------------------------
 
 _CH = ", ".join(f"'{c}'" for c in L.CHAINABLE)
-_AUG_SQL = f"""WITH {R.UTTER_SQL},
-ch AS (SELECT seq, text, intent FROM utter WHERE intent IN ({_CH})), {partner_sql('ch', A.BUCKET_ROWS)},
-base AS (SELECT seq, text, intent, partner, (SELECT count(*) FROM ch c WHERE c.intent = paired.intent) > 1 AS has_partners FROM paired
-  UNION ALL SELECT seq, text, intent, NULL, false FROM utter WHERE intent NOT IN ({_CH})),
-tries AS (SELECT *, unnest(range({A.ATTEMPTS})) AS attempt FROM base),
+_AUG_SQL = f"""WITH RECURSIVE {R.UTTER_SQL},
+ch AS (SELECT seq, text, intent FROM utter WHERE intent IN ({_CH})), {attempt_partner_sql('ch', A.ATTEMPTS)},
+tries AS (SELECT seq, text, intent, attempt, partner, n > 1 AS has_partners FROM tried
+  UNION ALL SELECT seq, text, intent, unnest(range({A.ATTEMPTS})), NULL, false FROM utter WHERE intent NOT IN ({_CH})),
 dh AS (SELECT *, {', '.join(f"{R.hash_sql(0, 'seq', 'attempt', str(i))} AS h{i}" for i in range(4))} FROM tries),
 {variant_sql('dh')}, {chain_sql('v7')},
 cand AS (SELECT seq, attempt, intent, text, CASE WHEN has_partners AND {R.u_sql('h0', 0)} < {D.P_CHAIN} THEN chained ELSE single END AS variant FROM c3),
 keyed AS (SELECT *, {R.loose_sql('variant')} AS key, {R.loose_sql('text')} AS own FROM cand WHERE variant IS NOT NULL),
-ok AS (SELECT * FROM keyed WHERE key <> '' AND key <> own AND key NOT IN (SELECT {R.loose_sql('text')} FROM benchmark)),
-first AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq, attempt) AS o FROM ok),
-kept AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY attempt) AS m FROM first WHERE o = 1)"""
+ok AS MATERIALIZED (SELECT seq, key, min(attempt) AS attempt FROM keyed WHERE key <> '' AND key <> own
+  AND key NOT IN (SELECT {R.loose_sql('text')} FROM benchmark) GROUP BY seq, key),
+alive AS (SELECT 0 AS round, seq, attempt, key FROM ok UNION ALL
+  (WITH p AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY attempt) <= {A.PER_ROW} AS asks FROM alive),
+    o AS (SELECT key, min(seq) AS owner FROM p WHERE asks GROUP BY key),
+    lost AS (SELECT p.seq, p.key FROM p JOIN o USING (key) WHERE asks AND p.seq <> owner)
+  SELECT p.round + 1, p.seq, p.attempt, p.key FROM p ANTI JOIN lost USING (seq, key) WHERE EXISTS (SELECT 1 FROM lost))),
+last AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY attempt) AS m FROM alive WHERE round = (SELECT max(round) FROM alive)),
+kept AS (SELECT cand.*, m FROM last JOIN cand USING (seq, attempt))"""
 
 
 def _augmented(spark, sf):

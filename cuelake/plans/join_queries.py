@@ -62,6 +62,24 @@ ring AS (SELECT *, coalesce(lead(text) OVER (PARTITION BY intent, bucket ORDER B
 paired AS (SELECT seq, text, intent, CASE WHEN nxt <> text THEN nxt END AS partner FROM ring)"""
 
 
+def attempt_partner_sql(source: str, attempts: int, seed: int = 0) -> str:
+    """CTEs ``dir`` (by place) and ``tried``: source (seq, text, intent) once per attempt, with n and partner."""
+    return f"""
+dir AS (SELECT intent, text, row_number() OVER (PARTITION BY intent ORDER BY {R.hash_sql(seed, 'seq', "'place'")}, seq) - 1 AS place FROM {source}),
+sizes AS (SELECT intent, count(*) AS n FROM {source} GROUP BY intent),
+numbered AS (SELECT s.*, n, unnest(range({attempts})) AS attempt FROM {source} s JOIN sizes USING (intent)),
+drawn AS (SELECT *, {R.idx_sql(R.u_sql(R.hash_sql(seed, 'seq', 'attempt', "'partner'")), 'n')} AS at FROM numbered),
+tried AS (SELECT t.*, CASE WHEN d.text <> t.text THEN d.text END AS partner FROM drawn t JOIN dir d ON d.intent = t.intent AND d.place = t.at)"""
+
+
+@query("c06_partner_per_attempt", f"""WITH {R.UTTER_SQL}, {attempt_partner_sql('utter', A.ATTEMPTS)}
+SELECT seq, CAST(attempt AS INTEGER) AS attempt, partner FROM tried""")
+def partner_per_attempt(spark, sf):
+    rows = R.utterances(spark, sf).select("seq", "text", "intent")
+    tries = rows.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(A.ATTEMPTS - 1))))
+    return A.attempt_partners(tries, A.directory(rows, "seq", 0), "seq", 0).select("seq", "attempt", "partner")
+
+
 @query("c06_same_class_partner", f"WITH {R.UTTER_SQL}, {partner_sql('utter', 64)} SELECT seq, intent, partner FROM paired")
 def same_class_partner(spark, sf):
     rows = R.utterances(spark, sf).select("seq", "text", "intent")

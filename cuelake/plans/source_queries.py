@@ -10,7 +10,7 @@ from cuelake.plans import roles as R
 from cuelake.plans.aggregate_queries import LABELS_SQL, ece_sql, report_sql
 from cuelake.plans.registry import query
 from cuelake.session import scratch_path
-from cuelake.sources import lines as LN, manifest as MF, objects as O, sinks as SK
+from cuelake.sources import keyed_store as KS, lines as LN, manifest as MF, objects as O, sinks as SK
 
 _D = f"WITH {R.DOCS_SQL}"
 _ENUM = ", ".join(f"'{x}'" for x in L.INTENTS)
@@ -120,14 +120,10 @@ def snapshot_sink(spark, sf):
 def idempotent_append(spark, sf):
     """Pool first, then everything twice: every key is stored once."""
     out = scratch_path(spark, "collected")
-    docs = R.documents(spark, sf)
-    def unique(rows):
-        keyed = rows.withColumn("k", K.digest(K.key_redacted(F.col("text"))))
-        return keyed.groupBy("k").agg(F.min(F.struct("seq", "text", "intent")).alias("r")).select(
-            T.normalize_text(F.col("r.text")).alias("text"), "r.intent")
+    docs = R.documents(spark, sf).withColumn("text", T.normalize_text(F.col("text")))
     for rows in (docs.filter("part = 'pool'"), docs, docs):
-        SK.append_new(unique(rows), out)
-    stored = spark.read.schema(LN.EXAMPLE_SCHEMA).json(out)
+        KS.append_keyed(rows, out)
+    stored = KS.read_store(spark, out)
     return stored.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(K.key_redacted(F.col("text"))).alias("keys"))
 
 

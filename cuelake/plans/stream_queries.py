@@ -8,7 +8,7 @@ from cuelake.functions import keys as K, labels as L
 from cuelake.plans import roles as R
 from cuelake.plans.registry import query
 from cuelake.session import scratch_path
-from cuelake.sources import lines as LN
+from cuelake.sources import keyed_store as KS
 from cuelake.streaming import jobs as J
 
 _D = f"WITH {R.DOCS_SQL}"
@@ -88,5 +88,5 @@ def stream_append(spark, sf):
     rows = stream(spark, sf, "documents").select("text", F.col("lang").alias("intent"))
     for run in ("first", "replay"):
         J.append_accepted(rows, out, scratch_path(spark, f"accepted-{run}"))
-    stored = spark.read.schema(LN.EXAMPLE_SCHEMA).json(out)
+    stored = KS.read_store(spark, out)
     return stored.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(K.key_redacted(F.col("text"))).alias("keys"))

@@ -60,6 +60,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cuelake/{name}-{uuid.uuid4().hex}"
 
 
+def written(df, name: str):
+    """Cut the lineage by a table in the shared folder; later readers can prune its columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint in the shared folder (survives lost executors)."""
     spark = df.sparkSession

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cuelake.functions import keys as K
@@ -15,23 +16,22 @@ def write_snapshot(examples: DataFrame, out: str) -> None:
     examples.select("text", "intent").write.mode("overwrite").json(out)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def append_new(rows: DataFrame, out: str, key: Column | None = None) -> None:
     """Append the (text, intent) rows whose ingest key is not in ``out`` yet.
 
     Running it again with the same rows adds nothing. Within one batch the rows are
-    expected to be unique by key (the ingest operator returns them so).
+    expected to be unique by key (the ingest operator returns them so). Every append
+    reads and redacts all of ``out``; a store that grows belongs in ``keyed_store``.
     """
     spark = rows.sparkSession
     rows = rows.select("text", "intent")
     key = F.col("text") if key is None else key
-    if _exists(spark, out):
+    try:
         stored = spark.read.schema("text string, intent string").json(out)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
         keyed = rows.withColumn("_key", K.digest(K.key_redacted(key)))
         seen = stored.select(K.digest(K.key_redacted(F.col("text"))).alias("_key"))
         rows = exclude_keys(keyed, seen, "_key").drop("_key")

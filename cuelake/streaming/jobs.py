@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cuelake.functions import keys as K, labels as L, text as T
 from cuelake.operators.skew import BROADCAST_ROWS, small_enough
-from cuelake.sources.sinks import append_new
+from cuelake.sources.keyed_store import append_keyed
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
@@ -77,15 +77,10 @@ def window_shares(monitored: DataFrame) -> DataFrame:
 
 
 def append_accepted(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Idempotent append: replaying the input, even without its checkpoint, adds nothing.
+    """Append to a keyed store: replaying the input, even without its checkpoint, adds nothing.
 
-    Rows of one micro-batch are reduced to one per ingest key before the anti-join with
-    what ``out`` already holds.
+    A micro-batch is reduced to one row per ingest key and looked up in the store's
+    partitions of its own keys, so its work does not grow with the texts stored.
     """
-    def write(batch: DataFrame, _epoch: int) -> None:
-        keyed = batch.withColumn("_k", K.digest(K.key_redacted(F.col("text"))))
-        unique = keyed.groupBy("_k").agg(F.min(F.struct("text", "intent")).alias("r")).select("r.*")
-        append_new(unique, out)
-
-    (stream.select("text", "intent").writeStream.foreachBatch(write)
+    (stream.select("text", "intent").writeStream.foreachBatch(lambda batch, _epoch: append_keyed(batch, out) and None)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())

@@ -111,8 +111,8 @@ def test_augment_invariants(spark, sf):
            ("compare two laptops and order the lighter one", "agent")] * 4
     rows = spark.createDataFrame([(i, t, n) for i, (t, n) in enumerate(src)], "seq long, text string, intent string")
     holdout = spark.createDataFrame([("um start the radio app",), ("Can you, start the radio app?",)], "text string")
-    got = A.augment(rows, holdout, bucket_rows=3).collect()
-    again = A.augment(rows.repartition(5), holdout, bucket_rows=3).collect()
+    got = A.augment(rows, holdout).collect()
+    again = A.augment(rows.repartition(5), holdout).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, again)) and got
     loose = lambda t: " ".join("".join(c if c.isalnum() else " " for c in t.lower().replace("'", "")).split())
     keys = [loose(r["text"]) for r in got]
