@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cuelake.functions import disfluency as D, labels as L
-from cuelake.operators import (augment as A, calibrate as C, curate as U, fit as FT, ingest as I,
+from cuelake.operators import (augment as A, calibrate as C, curate as U, fit as FT, floor as FX, ingest as I,
                                metrics as M, ood as G, pairs as PR, score as S)
 from cuelake.plans import roles as R
 from cuelake.plans.aggregate_queries import (COUNTS_SQL, DIM_SQL, INGEST_SQL, LABELS_SQL, ece_sql, judged,
                                              r6, report_sql)
+from cuelake.plans.aggregate_queries import _TFIDF_SQL
 from cuelake.plans.join_queries import COARSE_SQL, attempt_partner_sql
 from cuelake.plans.registry import query
 from cuelake.plans.text_queries import _weak_sql, chain_sql, variant_sql
@@ -155,18 +156,30 @@ def dataset_health(spark, sf):
 
 # --- fits (no SQL counterpart) -----------------------------------------------------------
 
-# Known fault: the default is 1000 iterations or convergence, which this query does not
-# reach in 210 s at sf0.01, so it stops here.
-QUERY_ITERATIONS = 20
+def _floor_docs(spark, sf):
+    return R.documents(spark, sf).select("part", "text", "intent")
 
 
 @query("h05_floor_model")
 def floor_model(spark, sf):
-    """Hashed floor model fitted on pool and log, report per class on the evals."""
-    docs = R.documents(spark, sf).select("part", "text", F.col("intent"))
-    model = FT.fit_hashed_floor(docs.filter("part <> 'eval'"), max_iter=QUERY_ITERATIONS)
-    pred = model.predict(docs.filter("part = 'eval'")).withColumnRenamed("intent", "gold")
-    return r6(M.class_report(pred, L.INTENTS), "precision", "recall", "f1")
+    """The floor model with every term, fitted to tolerance on pool and log; report per class on the evals."""
+    docs = _floor_docs(spark, sf)
+    pred = FX.fit_exact_floor(docs.filter("part <> 'eval'")).predict(docs.filter("part = 'eval'"))
+    return r6(M.class_report(pred.withColumnRenamed("intent", "gold"), L.INTENTS), "precision", "recall", "f1")
+
+
+@query("h05_floor_fit", f"""{_TFIDF_SQL.replace("FROM documents", "FROM lab").replace("WITH t AS", _D + f", lab AS (SELECT seq AS doc_id, text, intent FROM docs WHERE part <> 'eval' AND intent IS NOT NULL), t AS", 1)},
+a AS (SELECT term, intent, sum(weight) AS s FROM x JOIN lab USING (doc_id) GROUP BY term, intent),
+k AS (SELECT count(DISTINCT intent) AS k, count(*) AS n FROM lab),
+per AS (SELECT sum(s * s) - pow(sum(s), 2) / any_value(k) AS q FROM a, k GROUP BY term
+  UNION ALL SELECT sum(m * m) - pow(sum(m), 2) / any_value(k) FROM (SELECT intent, count(*) AS m FROM lab GROUP BY intent), k)
+SELECT (SELECT count(*) FROM df) AS n_terms, round(ln(any_value(k)), 6) AS start_loss, round(sqrt(sum(q)) / any_value(n), 6) AS start_gradient,
+  true AS converged, true AS below_start FROM per, k""")
+def floor_fit(spark, sf):
+    """Terms, loss and gradient norm of zero weights, and whether the fit reached its tolerance from there."""
+    fit = FX.fit_exact_floor(_floor_docs(spark, sf).filter("part <> 'eval'"))
+    row = (fit.n_terms, round(fit.start_loss, 6), round(fit.start_gradient, 6), fit.gradient <= FT.TOL and fit.iterations <= FT.MAX_ITER, fit.loss < fit.start_loss)
+    return spark.createDataFrame([row], "n_terms long, start_loss double, start_gradient double, converged boolean, below_start boolean")
 
 
 @query("h06_head_fit")
