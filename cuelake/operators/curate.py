@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cuelake.functions import keys as K, labels as L
-from cuelake.operators.skew import BROADCAST_ROWS, exclude_keys, keep_keys, small_enough
-from cuelake.session import cut_lineage
+from cuelake.operators.skew import BROADCAST_ROWS, attach_per_key, exclude_keys, keep_keys, small_enough
+from cuelake.session import cut_lineage, written
 
 TARGET_PER_INTENT = 30
 
@@ -109,20 +109,32 @@ def spaced_tokens(text: Column) -> Column:
     return F.concat(F.lit(" "), body, F.lit(" "))
 
 
-def _shingles(rows: DataFrame, id_col: str, widths: list[int], own: bool) -> DataFrame:
-    """(id, w, h): the hash of every run of w words, for each width.
+def _word_hashes(df: DataFrame, id_col: str) -> DataFrame:
+    """(id, _t): the hash of every word, in order. Text that starts or ends between words has
+    one empty word there."""
+    return df.select(id_col, F.transform(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), lambda x: F.xxhash64(x)).alias("_t"))
 
-    The position is exploded, not the words, so the hash is computed in the generated
-    code of the scan stage. ``own`` keeps a row to its own width in column ``_w``.
+
+def _shingles(rows: DataFrame, id_col: str, widths: list[int], own: Column | None = None) -> DataFrame:
+    """(id, h): the hash of every run of w words, for every width w, in one pass.
+
+    Positions are exploded, not words, and a run is hashed from the word hashes where they
+    lie, so nothing is copied per position. With ``own`` a row has runs of that width only.
     """
-    out = None
-    for w in widths:
-        n = F.size("_t") - F.lit(w - 1)
-        fits = rows.filter((n > 0) & (F.col("_w") == w if own else F.lit(True)))
-        at = fits.select(id_col, "_t", F.explode(F.sequence(F.lit(1), n)).alias("_i"))
-        one = at.select(id_col, F.lit(w).alias("w"), F.xxhash64(F.slice("_t", F.col("_i"), F.lit(w))).alias("h"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    last = F.size("_t") - (F.lit(widths[0]) if own is None else own)
+    # No filter on the size: it would compute the words a second time.
+    at = rows.select("*", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("_i"))
+
+    def run(w):
+        return F.xxhash64(F.lit(w), *[F.get("_t", F.col("_i") + k) for k in range(w)])
+
+    def fits(w):
+        return F.col("_i") + w <= F.size("_t") if own is None else own == w
+
+    if len(widths) == 1:
+        return at.select(id_col, run(widths[0]).alias("h"))
+    runs = F.array(*[F.when(fits(w), run(w)) for w in widths])
+    return at.select(id_col, F.explode(runs).alias("h")).filter("h IS NOT NULL")
 
 
 def contained_passages(docs: DataFrame, passages: DataFrame, doc_id: str, item_id: str,
@@ -130,37 +142,41 @@ def contained_passages(docs: DataFrame, passages: DataFrame, doc_id: str, item_i
     """(doc_id, item_id) where the document's words contain the passage's in a row.
 
     Every occurrence includes every shingle of the passage, so each passage is looked
-    up by one shingle only: its rarest. Documents stream past the
-    anchors (hash join), and each candidate is then verified against the whole texts.
-    Passages shorter than ``width`` use their own length as shingle width.
+    up by one shingle only: its rarest. One pass over the documents keeps the shingles
+    that some passage has, as a narrow table; counts, anchors and candidates come from
+    that table, and a second pass verifies the candidates on the texts. A document's text
+    is keyed by its own id only, so a passage that many documents hold gathers no texts.
+    Passages shorter than ``width`` use their own length as shingle width. Passages
+    without a word are in no document.
     """
-    def words_of(df, id_col):
-        return df.select(id_col, spaced_tokens(F.col("text")).alias("_s")).withColumn(
-            "_t", F.split(F.trim("_s"), " "))
-
-    items = words_of(passages, item_id).filter(F.trim("_s") != "").withColumn(
-        "_w", F.least(F.size("_t"), F.lit(width)))
-    widths = sorted(r[0] for r in items.select("_w").distinct().collect())
-    texts = words_of(docs, doc_id)
-
+    empty = F.xxhash64(F.lit(""))
+    items = (_word_hashes(passages, item_id).withColumn("_t", F.array_remove("_t", empty)).filter(F.size("_t") > 0)
+             .withColumn("_w", F.least(F.size("_t"), F.lit(width))))
+    widths = sorted(r[0] for r in items.select("_w").distinct().collect())  # at most ``width`` values
     if not widths:
         return docs.select(doc_id).join(passages.select(item_id).limit(0))
-    doc_sh, item_sh = _shingles(texts, doc_id, widths, False), _shingles(items, item_id, widths, True)
-    wanted = item_sh.select("w", "h").distinct()
+    item_sh = cut_lineage(_shingles(items, item_id, widths, F.col("_w")))
+    wanted = item_sh.select("h").distinct()
+    runs = _shingles(_word_hashes(docs, doc_id), doc_id, widths)
     if small_enough(wanted, limit):
-        seen = doc_sh.join(F.broadcast(wanted), ["w", "h"], "left_semi")
-        df_count = seen.groupBy("w", "h").agg(F.count(F.lit(1)).alias("df"))
-    else:
-        # Count before joining, so a shingle found in every document stays one row.
-        df_count = doc_sh.groupBy("w", "h").agg(F.count(F.lit(1)).alias("df")).join(
-            wanted, ["w", "h"], "left_semi")
+        known = runs.join(F.broadcast(wanted), "h", "left_semi").distinct()
+    else:  # a run that a document repeats is one row before the shuffle; AQE splits runs of many documents
+        known = runs.distinct().join(wanted, "h", "left_semi")
+    seen = written(known, "shingles")
+    per_run = seen.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     anchors = cut_lineage(
-        item_sh.join(df_count, ["w", "h"])
-        .groupBy(item_id).agg(F.min(F.struct("df", "w", "h")).alias("a"))
-        .select(item_id, "a.w", "a.h"))
-    few = F.broadcast(anchors) if small_enough(anchors, limit) else anchors
-    pairs = cut_lineage(doc_sh.join(few, ["w", "h"]).select(doc_id, item_id).distinct())
-    near = F.broadcast(pairs) if small_enough(pairs, limit) else pairs
-    return (texts.select(doc_id, F.col("_s").alias("_doc")).join(near, doc_id)
-            .join(items.select(item_id, F.col("_s").alias("_item")), item_id)
+        item_sh.join(per_run, "h", "left").groupBy(item_id)
+        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h")).alias("a"))
+        .filter("a.df > 0").select(item_id, "a.h", "a.df"))
+    # Documents per anchor are few or, for a hot passage, many rows of two numbers.
+    few = F.broadcast(anchors.drop("df")) if small_enough(anchors, limit) else anchors.drop("df")
+    pairs = cut_lineage(seen.join(few, "h").select(doc_id, item_id).distinct())
+
+    key = K.digest(F.col(item_id).cast("string"))
+    bodies = passages.select(key.alias("_key"), spaced_tokens(F.col("text")).alias("_item"), item_id)
+    per_item = bodies.join(pairs.groupBy(item_id).agg(F.count(F.lit(1)).alias("n")), item_id).drop(item_id)
+    asked = attach_per_key(pairs.withColumn("_key", key), per_item, "_key", F.col(doc_id)).drop("_key")
+    ids = pairs.select(doc_id).distinct()
+    held = docs.join(F.broadcast(ids), doc_id, "left_semi") if small_enough(ids, limit) else docs
+    return (held.select(doc_id, spaced_tokens(F.col("text")).alias("_doc")).join(asked, doc_id)
             .filter(F.contains("_doc", "_item")).select(doc_id, item_id))
