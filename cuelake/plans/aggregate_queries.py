@@ -210,8 +210,12 @@ SELECT s.status, CAST(count(judged.seq) AS BIGINT) AS n
 FROM (SELECT unnest({R.list_sql(I.STATUSES)}) AS status) s LEFT JOIN judged USING (status) GROUP BY s.status"""
 
 
+def ingest_inputs(spark, sf):
+    return R.samples(spark, sf), R.part(spark, sf, "pool"), R.part(spark, sf, "eval")
+
+
 def judged(spark, sf):
-    return I.ingest_status(R.samples(spark, sf), R.part(spark, sf, "pool"), R.part(spark, sf, "eval"))
+    return I.ingest_status(*ingest_inputs(spark, sf))
 
 
 @query("d14_ingest_status_counts", COUNTS_SQL)

@@ -8,11 +8,13 @@ from cuelake.functions import disfluency as D, labels as L
 from cuelake.operators import (augment as A, calibrate as C, curate as U, fit as FT, floor as FX, ingest as I,
                                metrics as M, ood as G, pairs as PR, score as S)
 from cuelake.plans import roles as R
-from cuelake.plans.aggregate_queries import (COUNTS_SQL, DIM_SQL, INGEST_SQL, LABELS_SQL, ece_sql, judged,
+from cuelake.plans.aggregate_queries import (COUNTS_SQL, DIM_SQL, INGEST_SQL, LABELS_SQL, ece_sql, ingest_inputs, judged,
                                              r6, report_sql)
 from cuelake.plans.aggregate_queries import _TFIDF_SQL
 from cuelake.plans.join_queries import COARSE_SQL, attempt_partner_sql
 from cuelake.plans.registry import query
+from cuelake.session import scratch_path
+from cuelake.sources.keyed_store import read_store
 from cuelake.plans.text_queries import _weak_sql, chain_sql, variant_sql
 
 _D = f"WITH {R.DOCS_SQL}"
@@ -22,7 +24,7 @@ _D = f"WITH {R.DOCS_SQL}"
 
 @query("h01_ingest_dry_run", COUNTS_SQL)
 def ingest_dry_run(spark, sf):
-    return I.status_counts(judged(spark, sf))
+    return I.dry_run(*ingest_inputs(spark, sf))
 
 
 _TEACHER_SQL = f"""
@@ -34,8 +36,22 @@ SELECT seq, {R.norm_sql('raw')} AS text, CASE status WHEN 'client_label' THEN cl
   CASE status WHEN 'client_label' THEN 'client' ELSE 'teacher' END AS origin
 FROM judged LEFT JOIN teacher USING (key) WHERE status = 'client_label' OR (status = 'teacher_label' AND answer IS NOT NULL)""")
 def ingest_new_rows(spark, sf):
-    rows = I.accepted(judged(spark, sf), R.teacher(spark, sf))
-    return rows.withColumnRenamed("source", "origin")
+    run = I.run_ingest(*ingest_inputs(spark, sf), R.teacher(spark, sf))
+    return run.new_rows.withColumnRenamed("source", "origin")
+
+
+@query("h01_ingest_job", f"""{INGEST_SQL}, {_TEACHER_SQL},
+per AS ({COUNTS_SQL[len(INGEST_SQL):]}),
+stored AS (SELECT count(DISTINCT key) AS stored FROM judged LEFT JOIN teacher USING (key)
+  WHERE status = 'client_label' OR (status = 'teacher_label' AND answer IS NOT NULL))
+SELECT status, n, stored FROM per, stored""")
+def ingest_job(spark, sf):
+    """The job run twice on one store: counts taken by the first run's write, and what the store holds after both."""
+    out = scratch_path(spark, "ingested")
+    first, second = (I.run_ingest(*ingest_inputs(spark, sf), R.teacher(spark, sf), out) for _ in range(2))
+    held = read_store(spark, out).count() + second.appended
+    rows = [(status, n, held) for status, n in first.counts.items()]
+    return spark.createDataFrame(rows, "status string, n long, stored long")
 
 
 @query("h11_teacher_queue", f"""{INGEST_SQL}, {_TEACHER_SQL}

@@ -61,18 +61,38 @@ def lenient_scan(spark, sf):
 
 
 @query("a04_compaction", """
-SELECT CASE WHEN lang = 'es' THEN 'skipped' ELSE 'written' END AS status, count(DISTINCT lang || '/' || source) AS n,
-  CAST(sum(CASE WHEN lang <> 'es' THEN n_chars ELSE 0 END) AS BIGINT) AS chars FROM documents GROUP BY ALL""")
+WITH per AS (SELECT lang, source, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY ALL)
+SELECT 'written' AS status, lang, count(*) AS n, CAST(sum(chars) AS BIGINT) AS chars FROM per WHERE lang <> 'es' GROUP BY lang
+UNION ALL SELECT 'skipped', '', count(*), 0 FROM per WHERE lang = 'es'""")
 def compaction(spark, sf):
-    """One object per language and source: its documents' size, cut short for one language."""
-    out = scratch_path(spark, "objects")
+    """One object per language and source, cut short for one language; pulled, and the snapshot read again."""
+    out, snapshot = scratch_path(spark, "objects"), scratch_path(spark, "pulled")
     per = R.table(spark, sf, "documents").groupBy("lang", "source").agg(F.sum("n_chars").cast("string").alias("text"))
-    body = F.to_json(F.struct("text"))
+    body = F.to_json(F.struct("text", F.col("lang").alias("client_label")))
     objects = per.select("lang", "source", F.when(F.col("lang") == "es", F.substring(body, 1, 6)).otherwise(body).alias("value"))
     objects.repartition("lang", "source").write.partitionBy("lang", "source").text(out)
-    found = O.compact(O.read_objects(spark, out, glob="*.txt"))
-    return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.coalesce(
-        F.sum(F.col("text").cast("long")), F.lit(0)).alias("chars"))
+    counts = O.pull(spark, out, snapshot, glob="*.txt")
+    rows = spark.read.parquet(snapshot).groupBy(F.col("client_label").alias("lang")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("text").cast("long")).alias("chars"))
+    skipped = counts.filter("status = 'skipped'").select("status", F.lit("").alias("lang"), "n", F.lit(0).cast("long").alias("chars"))
+    return rows.select(F.lit("written").alias("status"), "lang", "n", "chars").unionByName(skipped)
+
+
+@query("a05_prefix_pull", """
+WITH o AS (SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, max(event_id) AS top FROM events GROUP BY ALL),
+m AS (SELECT max(substr(date, 1, 9)) AS start FROM o)
+SELECT date, count(*) AS n, CAST(sum(top) AS BIGINT) AS tops FROM o, m WHERE starts_with(date, start) GROUP BY date""")
+def prefix_pull(spark, sf):
+    """One object per date and event type; those of the last ten-day stretch, by a prefix that ends inside the date."""
+    out, snapshot = scratch_path(spark, "samples"), scratch_path(spark, "pulled")
+    date = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd")
+    per = R.table(spark, sf, "events").groupBy(date.alias("date"), "event_type").agg(F.max("event_id").cast("string").alias("text"))
+    per = per.withColumn("device", F.col("event_type")).withColumnRenamed("event_type", "client_label")
+    per.repartition("date", "device").write.partitionBy("date", "device").json(out)
+    start = per.agg(F.max(F.substring("date", 1, 9))).first()[0]
+    O.pull(spark, out, snapshot, prefix=f"date={start}")
+    rows = spark.read.parquet(snapshot).groupBy(F.substring("date", 6, 10).alias("date"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("text").cast("long")).alias("tops"))
 
 
 @query("a05_key_layout", """

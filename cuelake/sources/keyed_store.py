@@ -52,6 +52,15 @@ def known_digests(store: DataFrame, batch: DataFrame, limit: int = BROADCAST_ROW
     return stored.join(wanted, ["prefix", "digest"], "left_semi").select("digest")
 
 
+def known_keys(store: DataFrame, keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Those of ``keys`` (key) that the store holds, read as ``known_digests`` does."""
+    digits = _digits_of(store)
+    if digits is None:
+        return keys.limit(0)
+    digest = keys.select(F.col("key").alias("digest")).distinct()
+    return known_digests(store, digest.withColumn("prefix", _prefix(F.col("digest"), digits)), limit).withColumnRenamed("digest", "key")
+
+
 def append_keyed(rows: DataFrame, path: str, key: Column | None = None, digits: int = PREFIX_DIGITS) -> int:
     """Append the (text, intent) rows whose ingest key the store does not hold; how many.
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -58,3 +59,26 @@ def test_queue_and_merge(spark):
     new = {(r["text"], r["intent"], r["source"]) for r in job.new_rows.collect()}
     assert new == {("hello", "chat", "teacher"), ("x", "memory", "client")}
     assert sum(r["n"] for r in job.counts.collect()) == 3
+
+
+def test_job_counts_while_writing_and_knows_its_store(spark, tmp_path):
+    rng = random.Random(5)
+    texts = ["Stop", "stop.", "go", "...", " ", None, "wait", "later", "eval me", "pooled"]
+    rows = [(i, rng.choice(texts), rng.choice([None, "", "chat", "none", "tyop"])) for i in range(200)]
+    frame = lambda ts: spark.createDataFrame([(t,) for t in ts], "text string")
+    samples = spark.createDataFrame(rows, "seq long, text string, client_label string").repartition(5)
+    teacher = spark.createDataFrame([(hashlib.sha256(b"go").digest(), "agent")], "key binary, intent string")
+    pool, evals, out = frame(["pooled"]), frame(["Eval me"]), str(tmp_path / "store")
+    run = I.run_ingest(samples, pool, evals, teacher, out)
+    want = sequential(rows, ["pooled"], ["Eval me"])
+    assert run.counts == {s: sum(v == s for v in want.values()) for s in I.STATUSES}
+    lazy = I.ingest(samples, pool, evals, teacher)
+    assert sorted(map(tuple, run.new_rows.collect())) == sorted(map(tuple, lazy.new_rows.collect()))
+    assert sorted(map(tuple, run.queue.collect())) == sorted(map(tuple, lazy.queue.collect()))
+    assert run.appended == lazy.new_rows.count() > 0
+    again = I.run_ingest(samples, pool, evals, teacher, out)
+    assert again.appended == 0 and again.counts["client_label"] == 0 and sum(again.counts.values()) == 200
+    first = I.run_ingest(samples, pool, evals, teacher, limit=50)
+    assert sum(first.counts.values()) == 50 and first.appended == 0
+    assert {r["status"]: r["n"] for r in I.dry_run(samples, pool, evals).collect()} == run.counts
+    assert set(I.run_ingest(samples.limit(0), pool, evals, teacher).counts.values()) == {0}

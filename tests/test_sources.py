@@ -55,6 +55,21 @@ def test_objects(spark, tmp_path):
     assert (row["device"], row["ts"], row["uuid"], row["text"]) == ("d1", "17", "ab", "x")
     one_day = O.compact(O.read_objects(spark, str(tmp_path), "samples/2026-05-29/"))
     assert one_day.count() == 1
+    for prefix, n in [("samples/2026-05", 3), ("samples/2026-05-3", 2), ("samples/2026-05-30/d2/18", 1), ("samples/2027", 0)]:
+        assert O.read_objects(spark, str(tmp_path), prefix).count() == n
+    assert O.pull(spark, str(tmp_path), str(tmp_path / "none"), "samples/2027").count() == 0
+
+
+def test_pull_packs_by_size(spark, tmp_path):
+    for i in range(300):
+        folder = tmp_path / "in" / f"2026-05-{10 + i % 3}" / f"d{i % 7}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i}-x.json").write_text(json.dumps({"text": "t" * 80, "client_label": str(i)}))
+    out = tmp_path / "out"
+    assert [tuple(r) for r in O.pull(spark, str(tmp_path / "in"), str(out), target_bytes=4000).collect()] == [("written", 300)]
+    assert sorted(int(r[0]) for r in spark.read.parquet(str(out)).select("client_label").collect()) == list(range(300))
+    for date in out.glob("date=*"):
+        assert 1 <= len(list(date.glob("*.parquet"))) <= 4  # 100 objects of about 110 bytes
 
 
 def test_manifest(spark, tmp_path):
