@@ -347,6 +347,35 @@ def test_exact_copies_keep_one_row(odd):
     assert len(rows) == 4 and sum(r["kept"] for r in rows) == 1 and {r["keep_id"] for r in rows} == {1}
 
 
+@pytest.mark.parametrize("keep,bits", [("smallest", 1), ("largest", 1), ("smallest", 4), ("largest", 2)])
+def test_exact_runs_merge_brute_force(spark, keep, bits):
+    rng = np.random.default_rng(3)
+    texts = ["", None, "same", "same", "rare", *(f"t{i}" for i in range(40))]
+    rows = [(None if i % 17 == 0 else int(rng.integers(200)), texts[min(rng.integers(60), rng.integers(45), 44)]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    got = exact_dedup.exact_duplicates(docs, keep=keep, merge_bits=bits).collect()
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(hashlib.sha256((t or "").encode()).hexdigest(), []).append(i)
+    pick = max if keep == "largest" else min
+    for r in got:
+        ids = groups[r["text_sha256"]]
+        assert r["group_size"] == len(ids)
+        assert r["keep_id"] == pick((i for i in ids if i is not None), default=None)
+    kept = [r for r in got if r["kept"]]
+    assert len(got) == 400 and len(kept) == len(groups) and all(r["doc_id"] == r["keep_id"] for r in kept)
+
+
+def test_exact_merge_is_one_ordered_pass(spark, tmp_path):
+    """A round moves its rows once, by range, orders them once, and folds without hashing."""
+    runs = "run long, digest binary, n_bytes int, probe long, n long, keep_id long, keep_row long"
+    spark.createDataFrame([(0, b"a", 1, 2, 1, 3, 4)], runs).write.parquet(str(tmp_path / "runs"))
+    merged = exact_dedup._merge(spark.read.parquet(str(tmp_path / "runs")), "smallest")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+    assert len(re.findall(r"\bSort \[", plan)) == 1
+
+
 def test_pipeline_stages(spark, odd, empty, sf):
     import corpus_pipeline
 
