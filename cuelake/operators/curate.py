@@ -77,24 +77,41 @@ def top_duplicates(examples: DataFrame, k: int = 20) -> DataFrame:
 
 def dataset_health(train: DataFrame, evals: DataFrame, raw_lines: DataFrame | None = None,
                    labels: L.LabelSet = L.DEFAULT_LABELS, target: int = TARGET_PER_INTENT) -> DataFrame:
-    """All checks as one long table (check, key, value)."""
+    """All checks as one long table (check, key, value).
+
+    Each table is read once, into a narrow one of intents and digests that every check
+    reads; texts are never moved. Raw lines are counted in their own single pass.
+    """
+    def narrow(df, is_eval):
+        text = F.col("text")
+        return df.select(F.lit(is_eval).alias("is_eval"), "intent", L.is_valid(F.col("intent"), labels).alias("valid"),
+                         K.digest(text).alias("exact"), K.digest(K.key_leak(text)).alias("leak"))
+
     def long(df, check, key, value):
-        return df.select(F.lit(check).alias("check"), F.lit(key).alias("key") if key == "" else
-                         F.col(key).alias("key"), value.cast("long").alias("value"))
+        return df.select(F.lit(check).alias("check"), key.alias("key"), value.cast("long").alias("value"))
+
+    def total(value):
+        return F.coalesce(F.sum(value), F.lit(0))
 
+    rows = written(narrow(train, False).unionByName(narrow(evals, True)), "health")
+    in_train, in_eval, none = rows.filter("NOT is_eval"), rows.filter("is_eval"), F.lit("")
+    per_leak = rows.groupBy("leak").agg(F.count_if("is_eval").alias("e"), F.count_if(~F.col("is_eval")).alias("t"))
+    shared = per_leak.filter("leak IS NOT NULL AND e > 0 AND t > 0").agg(total(F.col("e")).alias("rows"), F.count(F.lit(1)).alias("keys"))
+    copies = in_train.groupBy("exact").agg(F.count(F.lit(1)).alias("n")).agg(total(F.col("n") - 1).alias("v"))
+    bad = in_train.agg(F.count_if(~F.coalesce("valid", F.lit(False))).alias("v"))
     parts = [
-        long(intent_counts(train, labels), "train_count", "intent", F.col("n")),
-        long(intent_counts(evals, labels), "eval_count", "intent", F.col("n")),
-        long(shortfall(evals, target, labels), "eval_needed", "intent", F.col("needed")),
-        long(leaked_evals(evals, train).agg(F.count(F.lit(1)).alias("v")), "leaked_evals", "", F.col("v")),
-        long(shared_keys(train, evals).agg(F.count(F.lit(1)).alias("v")), "shared_keys", "", F.col("v")),
-        long(duplicate_texts(train).agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("v")),
-             "duplicate_rows", "", F.col("v")),
-        long(label_violations(train, labels).agg(F.count(F.lit(1)).alias("v")), "bad_labels", "", F.col("v")),
+        long(intent_counts(in_train, labels), "train_count", F.col("intent"), F.col("n")),
+        long(intent_counts(in_eval, labels), "eval_count", F.col("intent"), F.col("n")),
+        long(shortfall(in_eval, target, labels), "eval_needed", F.col("intent"), F.col("needed")),
+        shared.select(F.explode(F.array(
+            F.struct(F.lit("leaked_evals").alias("check"), none.alias("key"), F.col("rows").alias("value")),
+            F.struct(F.lit("shared_keys").alias("check"), none.alias("key"), F.col("keys").alias("value")))).alias("r")).select("r.*"),
+        long(copies, "duplicate_rows", none, F.col("v")),
+        long(bad, "bad_labels", none, F.col("v")),
     ]
     if raw_lines is not None:
-        odd = raw_lines.filter(~L.has_exact_keys(F.col("line"), ["text", "intent"]))
-        parts.append(long(odd.agg(F.count(F.lit(1)).alias("v")), "odd_key_set", "", F.col("v")))
+        odd = ~L.has_exact_keys(F.col("line"), ["text", "intent"])
+        parts.append(long(raw_lines.agg(F.count_if(odd).alias("v")), "odd_key_set", none, F.col("v")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

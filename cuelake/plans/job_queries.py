@@ -154,7 +154,7 @@ def ood_generation(spark, sf):
 # --- health ----------------------------------------------------------------------------
 
 @query("h04_dataset_health", f"""{_D}, {DIM_SQL},
-train AS (SELECT * FROM docs WHERE part <> 'eval'), ev AS (SELECT * FROM docs WHERE part = 'eval'),
+train AS (SELECT text, coalesce(client_label, intent) AS intent FROM docs WHERE part <> 'eval'), ev AS (SELECT * FROM docs WHERE part = 'eval'),
 c AS (SELECT dim.intent, (SELECT count(*) FROM train t WHERE t.intent = dim.intent) AS nt, (SELECT count(*) FROM ev e WHERE e.intent = dim.intent) AS ne FROM dim),
 leaks AS (SELECT {R.leak_sql('text')} AS k FROM ev WHERE {R.leak_sql('text')} IN (SELECT {R.leak_sql('text')} FROM train))
 SELECT "check", key, CAST(value AS BIGINT) AS value FROM (
@@ -162,12 +162,16 @@ SELECT "check", key, CAST(value AS BIGINT) AS value FROM (
   UNION ALL SELECT 'eval_needed', intent, 30 - ne FROM c WHERE ne < 30
   UNION ALL SELECT 'leaked_evals', '', count(*) FROM leaks UNION ALL SELECT 'shared_keys', '', count(DISTINCT k) FROM leaks
   UNION ALL SELECT 'duplicate_rows', '', count(*) - count(DISTINCT text) FROM train
-  UNION ALL SELECT 'bad_labels', '', 0
-  UNION ALL SELECT 'odd_key_set', '', count(*) FROM events WHERE list_sort(json_keys(props)) <> ['intent', 'text'])""")
+  UNION ALL SELECT 'bad_labels', '', count(*) FROM train WHERE intent NOT IN (SELECT intent FROM dim)
+  UNION ALL SELECT 'odd_key_set', '', count(*) FROM docs WHERE lang = 'de' OR lang = 'fr')""")
 def dataset_health(spark, sf):
+    """Labels as logged, some outside the set; lines of one language have a key too many, of another one too few."""
     docs = R.documents(spark, sf)
-    lines = R.table(spark, sf, "events").select(F.col("props").alias("line"))
-    return U.dataset_health(docs.filter("part <> 'eval'"), docs.filter("part = 'eval'"), lines)
+    train = docs.filter("part <> 'eval'").select("text", F.coalesce("client_label", "intent").alias("intent"))
+    lang = F.col("lang")
+    line = (F.when(lang == "de", F.to_json(F.struct("text", "intent", "lang")))
+            .when(lang == "fr", F.to_json(F.struct("text"))).otherwise(F.to_json(F.struct("text", "intent"))))
+    return U.dataset_health(train, docs.filter("part = 'eval'"), docs.select(line.alias("line")))
 
 
 # --- fits (no SQL counterpart) -----------------------------------------------------------
