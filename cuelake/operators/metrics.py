@@ -253,6 +253,7 @@ def evaluation_report(pred: DataFrame, labels: list[str], ood: DataFrame | None
     """Long metrics table (model, suite, metric, class, value).
 
     ``pred`` has model, suite, gold, pred, conf; figures of different suites stay apart.
+    ``density`` has the confidence histogram by bin, ``pct_deferred`` the deferral curve by cut-off.
     """
     by = ["model", "suite"]
     def long(df, metric, value, cls=None):
@@ -261,8 +262,10 @@ def evaluation_report(pred: DataFrame, labels: list[str], ood: DataFrame | None
                          F.col(value).cast("double").alias("value"))
     # One pass over the predictions; every figure below reads this label- and bin-sized table.
     cells = cut_lineage(
-        pred.withColumns({"bin": bin_of(F.col("conf"), ECE_BINS, 1.0 / ECE_BINS), "kept": F.col("conf") >= gate})
-        .groupBy(*by, "gold", "pred", "bin", "kept").agg(_n().alias("n"), F.sum("conf").alias("c")))
+        pred.withColumns({"bin": bin_of(F.col("conf"), ECE_BINS, 1.0 / ECE_BINS), "kept": F.col("conf") >= gate,
+                          "hist": F.least(bin_of(F.col("conf"), HIST_BINS, 1.0 / HIST_BINS), F.lit(HIST_BINS - 1)),
+                          "cut": _threshold_bucket(F.col("conf"), CURVE_POINTS, CURVE_START, CURVE_STEP)})
+        .groupBy(*by, "gold", "pred", "bin", "kept", "hist", "cut").agg(_n().alias("n"), F.sum("conf").alias("c")))
     hits = F.col("n") * _correct()
     overall = cells.groupBy(*by).agg(
         F.sum("n").alias("n"), (F.sum(hits) / F.sum("n")).alias("accuracy"),
@@ -273,8 +276,21 @@ def evaluation_report(pred: DataFrame, labels: list[str], ood: DataFrame | None
     error = per_bin.groupBy(*by).agg((F.sum(gap) / F.sum("n")).alias("ece"))
     report = class_report(cells, labels, by, weight="n")
     averages = report_averages(report, by)
+    def by_slot(slot, slots):
+        """Rows per slot, zeros included, with the rows up to it and of the whole suite."""
+        counts = cells.groupBy(*by, slot).agg(F.sum("n").alias("c"))
+        grid = overall.select(*by).withColumn(slot, F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+        upto = W.partitionBy(*by).orderBy(slot).rowsBetween(W.unboundedPreceding, 0)
+        filled = grid.join(counts, [*by, slot], "left").withColumn("c", F.coalesce("c", F.lit(0)))
+        return filled.withColumns({"upto": F.sum("c").over(upto), "whole": F.sum("c").over(W.partitionBy(*by)),
+                                   "slot": F.col(slot).cast("string")})
+
+    hist = by_slot("hist", HIST_BINS).withColumn("density", F.col("c") / (F.col("whole") * F.lit(1.0 / HIST_BINS)))
+    curve = by_slot("cut", CURVE_POINTS + 1).filter(F.col("cut") < CURVE_POINTS).withColumn(
+        "pct_deferred", F.col("upto") / F.col("whole") * 100)
     parts = [long(overall, m, m) for m in ("n", "accuracy", "kept_share", "kept_accuracy")]
-    parts += [long(error, "ece", "ece")]
+    parts += [long(error, "ece", "ece"), long(hist, "density", "density", "slot"),
+              long(curve, "pct_deferred", "pct_deferred", "slot")]
     parts += [long(report, m, m, "label") for m in ("precision", "recall", "f1", "support")]
     parts += [long(averages, m, m) for m in ("macro_f1", "weighted_f1")]
     if ood is not None:

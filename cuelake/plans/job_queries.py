@@ -229,13 +229,17 @@ allp AS (SELECT *, 'centroid/' || suite AS grp FROM preds UNION ALL SELECT *, 'c
 g AS (SELECT grp, count(*) AS n, avg(CASE WHEN pred = gold THEN 1.0 ELSE 0.0 END) AS acc, avg(CASE WHEN conf >= {L.GATE} THEN 1.0 ELSE 0.0 END) AS kept,
   avg(CASE WHEN conf >= {L.GATE} THEN CASE WHEN pred = gold THEN 1.0 ELSE 0.0 END END) AS kacc FROM allp GROUP BY grp),
 m AS (SELECT grp, avg(f1) AS mf, sum(f1 * support) / sum(support) AS wf FROM rep GROUP BY grp),
-o AS (SELECT grp, avg(CASE WHEN conf < {L.GATE} THEN 1.0 ELSE 0.0 END) AS v FROM allp WHERE suite = 'ood' GROUP BY grp)
+o AS (SELECT grp, avg(CASE WHEN conf < {L.GATE} THEN 1.0 ELSE 0.0 END) AS v FROM allp WHERE suite = 'ood' GROUP BY grp),
+hb AS (SELECT grp, least(len(list_filter(range(1, 21), lambda i: conf >= i * 0.05::DOUBLE)), 19) AS bin, count(*) AS c FROM allp GROUP BY ALL),
+hg AS (SELECT grp, n, unnest(range(20)) AS bin FROM g), cuts AS (SELECT unnest(range(101)) AS i)
 SELECT grp, metric, class, round(CAST(value AS DOUBLE), 6) AS value FROM (
   SELECT grp, 'n' AS metric, '' AS class, n AS value FROM g UNION ALL SELECT grp, 'accuracy', '', acc FROM g
   UNION ALL SELECT grp, 'kept_share', '', kept FROM g UNION ALL SELECT grp, 'kept_accuracy', '', kacc FROM g
   UNION ALL SELECT grp, 'ece', '', ece FROM ece UNION ALL SELECT grp, 'macro_f1', '', mf FROM m UNION ALL SELECT grp, 'weighted_f1', '', wf FROM m
   UNION ALL SELECT grp, 'precision', label, precision FROM rep UNION ALL SELECT grp, 'recall', label, recall FROM rep
   UNION ALL SELECT grp, 'f1', label, f1 FROM rep UNION ALL SELECT grp, 'support', label, support FROM rep
+  UNION ALL SELECT grp, 'density', CAST(bin AS VARCHAR), coalesce(c, 0) / (n * 0.05) FROM hg LEFT JOIN hb USING (grp, bin)
+  UNION ALL SELECT grp, 'pct_deferred', CAST(i AS VARCHAR), avg(CASE WHEN conf < 0.5::DOUBLE + i * 0.005::DOUBLE THEN 100.0 ELSE 0.0 END) FROM allp CROSS JOIN cuts GROUP BY grp, i
   UNION ALL SELECT grp, 'ood_deferred_share', '', v FROM o)""")
 def evaluation_report(spark, sf):
     cols = ["model", "suite", "gold", "pred", "conf"]
