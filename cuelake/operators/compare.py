@@ -24,10 +24,10 @@ def parity(a: DataFrame, b: DataFrame, id_col: str, strict: bool = False) -> Dat
     x = a.select(F.col(id_col).alias("_ia"), F.col("pred").alias("pa"))
     y = b.select(F.col(id_col).alias("_ib"), F.col("pred").alias("pb"))
     same = F.col("pa").eqNullSafe(F.col("pb"))
-    if strict:
-        same = F.when(same, True).otherwise(F.raise_error(F.concat(
-            F.lit("prediction mismatch at id "), F.coalesce("_ia", "_ib").cast("string"))))
     joined = x.join(y, F.col("_ia") == F.col("_ib"), "full_outer")
+    if strict:  # a filter, so that no choice of columns can skip it
+        joined = joined.filter(F.when(same, True).otherwise(F.raise_error(F.concat(
+            F.lit("prediction mismatch at id "), F.coalesce("_ia", "_ib").cast("string")))))
     return joined.agg(F.count(F.lit(1)).alias("n"), F.sum(same.cast("long")).alias("matched")).withColumn(
         "match_rate", F.try_divide("matched", "n"))
 
@@ -53,15 +53,25 @@ def fingerprint(rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(h).alias("fingerprint"))
 
 
-def promote(current: DataFrame, candidate: DataFrame, id_col: str) -> DataFrame:
-    """One row: both accuracies and whether the candidate strictly beats the current one.
+def promote(current: DataFrame, candidate: DataFrame, id_col: str, suite: str | None = None) -> DataFrame:
+    """Both accuracies and whether the candidate strictly beats the current one: one row, or one per suite.
 
     Both must have scored the same rows, else nothing is promoted and ``same_ids`` is false.
+    With ``suite``, figures of suites stay apart, and a row that the two systems place in
+    different suites fails the job.
     """
-    x = current.select(F.col(id_col).alias("_ia"), (F.col("pred") == F.col("gold")).cast("double").alias("ca"))
-    y = candidate.select(F.col(id_col).alias("_ib"), (F.col("pred") == F.col("gold")).cast("double").alias("cb"))
-    joined = x.join(y, F.col("_ia") == F.col("_ib"), "full_outer")
-    stats = joined.agg(
+    def side(df, mark):
+        return df.select(F.col(id_col).alias(f"_i{mark}"), (F.col("pred") == F.col("gold")).cast("double").alias(f"c{mark}"),
+                         *([] if suite is None else [F.col(suite).alias(f"_s{mark}")]))
+
+    joined = side(current, "a").join(side(candidate, "b"), F.col("_ia") == F.col("_ib"), "full_outer")
+    by = []
+    if suite is not None:
+        apart = F.col("_ia").isNotNull() & F.col("_ib").isNotNull() & ~F.col("_sa").eqNullSafe(F.col("_sb"))
+        joined = joined.filter(F.when(~apart, True).otherwise(F.raise_error(F.concat(
+            F.lit("suites differ at id "), F.col("_ia").cast("string"))))).withColumn(suite, F.coalesce("_sa", "_sb"))
+        by = [suite]
+    stats = joined.groupBy(*by).agg(
         F.avg("ca").alias("current_accuracy"), F.avg("cb").alias("candidate_accuracy"),
         F.coalesce(F.bool_and(F.col("_ia").isNotNull() & F.col("_ib").isNotNull()), F.lit(False)).alias("same_ids"))
     return stats.withColumn("promote", F.col("same_ids") & F.coalesce(

@@ -283,10 +283,9 @@ def class_drift(spark, sf):
 
 
 @query("d20_promotion_gate", f"""{COARSE_SQL},
-m AS (SELECT avg(CASE WHEN b.pred = b.gold THEN 1.0 ELSE 0.0 END) AS cur, avg(CASE WHEN a.pred = a.gold THEN 1.0 ELSE 0.0 END) AS cand
-  FROM preds a JOIN cpreds b USING (vec_id) WHERE a.suite = 'indist')
-SELECT round(cur, 6) AS current_accuracy, round(cand, 6) AS candidate_accuracy, true AS same_ids, cand > cur AS promote FROM m""")
+m AS (SELECT a.suite, avg(CASE WHEN b.pred = b.gold THEN 1.0 ELSE 0.0 END) AS cur, avg(CASE WHEN a.pred = a.gold THEN 1.0 ELSE 0.0 END) AS cand
+  FROM preds a JOIN cpreds b USING (vec_id) GROUP BY a.suite)
+SELECT suite, round(cur, 6) AS current_accuracy, round(cand, 6) AS candidate_accuracy, true AS same_ids, cand > cur AS promote FROM m""")
 def promotion_gate(spark, sf):
-    current = R.coarse_predictions(spark, sf).filter("suite = 'indist'")
-    candidate = R.predictions(spark, sf).filter("suite = 'indist'")
-    return r6(P.promote(current, candidate, "vec_id"), "current_accuracy", "candidate_accuracy")
+    out = P.promote(R.coarse_predictions(spark, sf), R.predictions(spark, sf), "vec_id", "suite")
+    return r6(out, "current_accuracy", "candidate_accuracy")

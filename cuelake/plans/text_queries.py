@@ -334,3 +334,26 @@ SELECT count(*) AS pairs, round(min(cos), 6) AS min_cos, round(avg(cos), 6) AS a
 def cosine_spread(spark, sf):
     s = S.cosine_spread(R.embeddings(spark, sf), "vec_id")
     return s.select("pairs", *[F.round(c, 6).alias(c) for c in ("min_cos", "avg_cos", "max_cos", "sd_cos")])
+
+
+_PAIRS_SQL = f"""WITH {R.EMB_SQL},
+u AS (SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM emb),
+p AS (SELECT a.label AS label, b.label AS other, a.vec_id < b.vec_id AS once, list_dot_product(a.v, b.v) AS cos
+  FROM u a JOIN u b ON a.vec_id <> b.vec_id)"""
+
+
+@query("b35_cosine_moments", f"""{_PAIRS_SQL}
+SELECT (SELECT count(*) FROM emb) AS n, count(*) AS pairs, round(avg(cos), 6) AS avg_cos, round(stddev_pop(cos), 6) AS sd_cos FROM p WHERE once""")
+def cosine_moments(spark, sf):
+    """Mean and deviation of the cosines of all pairs; the SQL lists them all."""
+    out = S.cosine_moments(R.embeddings(spark, sf))
+    return out.select("n", F.col("pairs").cast("long").alias("pairs"), F.round("avg_cos", 6).alias("avg_cos"), F.round("sd_cos", 6).alias("sd_cos"))
+
+
+@query("b35_class_cohesion", f"""{_PAIRS_SQL}
+SELECT label, any_value(k.n) AS n, round(avg(CASE WHEN label = other THEN cos END), 6) AS within_cos,
+  round(avg(CASE WHEN label <> other THEN cos END), 6) AS between_cos
+FROM p JOIN (SELECT label, count(*) AS n FROM emb GROUP BY label) k USING (label) GROUP BY label""")
+def class_cohesion(spark, sf):
+    out = S.class_cohesion(R.embeddings(spark, sf), "label")
+    return out.select("label", "n", F.round("within_cos", 6).alias("within_cos"), F.round("between_cos", 6).alias("between_cos"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cuelake.functions import disfluency as D, labels as L, text as T, vectors as V
 from cuelake.functions.draws import draw_hash
 from cuelake.operators import (augment as A, calibrate as C, compare as P, curate as U, fit as FT, metrics as M,
-                               ranks as N, skew as S)
+                               ranks as N, score as SC, skew as S)
 from cuelake.plans import roles as R
 
 
@@ -173,3 +173,65 @@ def test_parity_and_promotion(spark):
     assert P.promote(a, b, "id").first()["promote"] is True
     assert P.promote(a, a, "id").first()["promote"] is False
     assert P.promote(a, b.filter("id = 1"), "id").first()["promote"] is False
+    with pytest.raises(Exception, match="prediction mismatch at id 2"):
+        P.parity(a, b, "id", strict=True).select("n").collect()
+
+
+def test_promotion_keeps_suites_apart(spark):
+    cols = "id int, pred string, gold string, suite string"
+    a = spark.createDataFrame([(1, "x", "x", "holdout"), (2, "y", "x", "holdout"), (3, "x", "x", "ood")], cols)
+    b = spark.createDataFrame([(1, "x", "x", "holdout"), (2, "x", "x", "holdout"), (3, "y", "x", "ood")], cols)
+    got = {r["suite"]: (r["current_accuracy"], r["candidate_accuracy"], r["promote"]) for r in P.promote(a, b, "id", "suite").collect()}
+    assert got == {"holdout": (0.5, 1.0, True), "ood": (1.0, 0.0, False)}
+    moved = b.withColumn("suite", F.when(F.col("id") == 2, "ood").otherwise(F.col("suite")))
+    with pytest.raises(Exception, match="suites differ at id 2"):
+        P.promote(a, moved, "id", "suite").select("promote").collect()
+    part = {r["suite"]: r["same_ids"] for r in P.promote(a, b.filter("id <> 1"), "id", "suite").collect()}
+    assert part == {"holdout": False, "ood": True}
+
+
+def _unit_pairs(rows):
+    """(label, label, cosine) of every pair of rows, each once."""
+    import numpy as np
+
+    vs = [(y, np.array(v, float) / max(np.linalg.norm(v), 1e-12)) for y, v in rows if v is not None]
+    return len(vs), [(a, b, float(u @ v)) for i, (a, u) in enumerate(vs) for b, v in vs[i + 1:]]
+
+
+@pytest.mark.parametrize("dims,near", [(5, 0.0), (150, 0.0), (8, 0.999)])
+def test_cosines_of_all_pairs(spark, dims, near):
+    rng = random.Random(dims)
+    base = [rng.gauss(0, 1) for _ in range(dims)]
+    rows = [(rng.choice("abc"), [near * x + (1 - near) * rng.gauss(0, 1) for x in base]) for _ in range(61)]
+    rows += [("a", rows[0][1]), ("b", [0.0] * dims), ("c", None), ("lone", base)]
+    emb = spark.createDataFrame(rows, "y string, embedding array<double>").repartition(7)
+    n, pairs = _unit_pairs(rows)
+    mean = sum(c for *_, c in pairs) / len(pairs)
+    got = SC.cosine_moments(emb).first()
+    assert (got["n"], got["pairs"]) == (n, len(pairs))
+    assert got["avg_cos"] == pytest.approx(mean, abs=1e-12)
+    assert got["sd_cos"] == pytest.approx(math.sqrt(sum((c - mean) ** 2 for *_, c in pairs) / len(pairs)), abs=1e-7)
+    for r in SC.class_cohesion(emb, "y").collect():
+        within = [c for a, b, c in pairs if a == b == r["y"]]
+        between = [c for a, b, c in pairs if (a == r["y"]) != (b == r["y"])]
+        assert r["within_cos"] == (pytest.approx(sum(within) / len(within), abs=1e-12) if within else None)
+        assert r["between_cos"] == pytest.approx(sum(between) / len(between), abs=1e-12)
+
+
+def test_cosines_of_few_or_uneven_vectors(spark):
+    none = spark.createDataFrame([], "y string, embedding array<float>")
+    assert tuple(SC.cosine_moments(none).first()) == (0, 0, None, None) and SC.class_cohesion(none, "y").count() == 0
+    one = spark.createDataFrame([("a", [1.0, 2.0])], "y string, embedding array<float>")
+    assert tuple(SC.cosine_moments(one).first()) == (1, 0, None, None)
+    assert tuple(SC.class_cohesion(one, "y").first()) == ("a", 1, None, None)
+    uneven = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [1.0])], "y string, embedding array<float>").coalesce(1)
+    with pytest.raises(Exception, match="different lengths"):
+        SC.cosine_moments(uneven).collect()
+
+
+def test_too_many_classes_fail_before_they_are_packed(spark, monkeypatch):
+    monkeypatch.setattr(SC, "MAX_CLASSES", 3)
+    emb = spark.createDataFrame([(str(i % 4), [1.0, float(i)]) for i in range(8)], "y string, embedding array<double>")
+    with pytest.raises(Exception, match="more than 3 classes"):
+        SC.nearest_label(emb, "y").select("y").collect()
+    assert SC.nearest_label(emb.filter("y <> '0'"), "y").count() == 6

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -82,6 +83,23 @@ def test_manifest(spark, tmp_path):
     assert got == {"a": "extra", "b": "changed", "c": "ok", "z": "missing"}
 
 
+def test_manifest_of_large_files(spark, tmp_path):
+    """A file beyond what one value can hold (sparse here), names with blanks, a root named twice in its path."""
+    root = tmp_path / "a b" / "data" / "a b" / "data"
+    (root / "sub").mkdir(parents=True)
+    size = (1 << 31) + 5
+    with open(root / "sub" / "big file%20", "wb") as f:
+        f.truncate(size)
+    (root / "empty").write_text("")
+    (root / "few").write_text("x" * 1000)
+    want = hashlib.md5()
+    for _ in range(1 << 7):
+        want.update(bytes(1 << 24))
+    want.update(bytes(5))
+    got = {r["path"]: (r["md5"], r["size"]) for r in MF.build_manifest(spark, f"{root}/", whole=500, chunk=300 << 10).collect()}
+    assert got == {"sub/big file%20": (want.hexdigest(), size), "few": (hashlib.md5(b"x" * 1000).hexdigest(), 1000)}
+
+
 def test_append_is_idempotent(spark, tmp_path):
     out = str(tmp_path / "collected")
     rows = spark.createDataFrame([("call <NUM>", "chat"), ("hi", "chat")], "text string, intent string")
