@@ -249,11 +249,14 @@ def class_weights(rows: DataFrame, label: str) -> DataFrame:
 
 
 def evaluation_report(pred: DataFrame, labels: list[str], ood: DataFrame | None = None,
-                      gate: float = L.GATE) -> DataFrame:
+                      gate: float = L.GATE, baselines: DataFrame | None = None) -> DataFrame:
     """Long metrics table (model, suite, metric, class, value).
 
     ``pred`` has model, suite, gold, pred, conf; figures of different suites stay apart.
     ``density`` has the confidence histogram by bin, ``pct_deferred`` the deferral curve by cut-off.
+    ``baselines`` (model, suite, eval_n, accuracy) are cached figures of other systems: they join the
+    suites scored here as ``cached_n``, ``cached_accuracy`` and ``stale``, 1 where the suite has since
+    changed its size.
     """
     by = ["model", "suite"]
     def long(df, metric, value, cls=None):
@@ -296,6 +299,10 @@ def evaluation_report(pred: DataFrame, labels: list[str], ood: DataFrame | None
     if ood is not None:
         deferred = ood.groupBy(*by).agg(F.avg((F.col("conf") < gate).cast("double")).alias("v"))
         parts.append(long(deferred, "ood_deferred_share", "v"))
+    if baselines is not None:
+        now = overall.groupBy("suite").agg(F.max("n").alias("_now"))
+        cached = baselines.join(F.broadcast(now), "suite").withColumn("stale", (F.col("eval_n") != F.col("_now")).cast("int"))
+        parts += [long(cached, m, c) for m, c in (("cached_n", "eval_n"), ("cached_accuracy", "accuracy"), ("stale", "stale"))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

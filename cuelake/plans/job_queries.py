@@ -231,7 +231,9 @@ g AS (SELECT grp, count(*) AS n, avg(CASE WHEN pred = gold THEN 1.0 ELSE 0.0 END
 m AS (SELECT grp, avg(f1) AS mf, sum(f1 * support) / sum(support) AS wf FROM rep GROUP BY grp),
 o AS (SELECT grp, avg(CASE WHEN conf < {L.GATE} THEN 1.0 ELSE 0.0 END) AS v FROM allp WHERE suite = 'ood' GROUP BY grp),
 hb AS (SELECT grp, least(len(list_filter(range(1, 21), lambda i: conf >= i * 0.05::DOUBLE)), 19) AS bin, count(*) AS c FROM allp GROUP BY ALL),
-hg AS (SELECT grp, n, unnest(range(20)) AS bin FROM g), cuts AS (SELECT unnest(range(101)) AS i)
+hg AS (SELECT grp, n, unnest(range(20)) AS bin FROM g), cuts AS (SELECT unnest(range(101)) AS i),
+old AS (SELECT suite, count(CASE WHEN conf >= 0.2::DOUBLE OR suite = 'ood' THEN 1 END) AS c, count(*) AS whole,
+  avg(CASE WHEN conf >= 0.2::DOUBLE OR suite = 'ood' THEN CASE WHEN pred = gold THEN 1.0 ELSE 0.0 END END) AS acc FROM cpreds GROUP BY suite)
 SELECT grp, metric, class, round(CAST(value AS DOUBLE), 6) AS value FROM (
   SELECT grp, 'n' AS metric, '' AS class, n AS value FROM g UNION ALL SELECT grp, 'accuracy', '', acc FROM g
   UNION ALL SELECT grp, 'kept_share', '', kept FROM g UNION ALL SELECT grp, 'kept_accuracy', '', kacc FROM g
@@ -240,13 +242,17 @@ SELECT grp, metric, class, round(CAST(value AS DOUBLE), 6) AS value FROM (
   UNION ALL SELECT grp, 'f1', label, f1 FROM rep UNION ALL SELECT grp, 'support', label, support FROM rep
   UNION ALL SELECT grp, 'density', CAST(bin AS VARCHAR), coalesce(c, 0) / (n * 0.05) FROM hg LEFT JOIN hb USING (grp, bin)
   UNION ALL SELECT grp, 'pct_deferred', CAST(i AS VARCHAR), avg(CASE WHEN conf < 0.5::DOUBLE + i * 0.005::DOUBLE THEN 100.0 ELSE 0.0 END) FROM allp CROSS JOIN cuts GROUP BY grp, i
-  UNION ALL SELECT grp, 'ood_deferred_share', '', v FROM o)""")
+  UNION ALL SELECT grp, 'ood_deferred_share', '', v FROM o
+  UNION ALL SELECT 'nearest/' || suite, unnest(['cached_n', 'cached_accuracy', 'stale']), '', unnest([c::DOUBLE, acc, (c <> whole)::INTEGER::DOUBLE]) FROM old)""")
 def evaluation_report(spark, sf):
     cols = ["model", "suite", "gold", "pred", "conf"]
     a = R.predictions(spark, sf).withColumn("model", F.lit("centroid")).select(cols)
     b = R.coarse_predictions(spark, sf).withColumn("model", F.lit("coarse")).select(cols)
     both = a.unionByName(b)
-    report = M.evaluation_report(both, R.ALL_LABELS, both.filter("suite = 'ood'"))
+    # A cached system, one of whose suites was smaller when it was scored.
+    seen = R.coarse_predictions(spark, sf).filter("conf >= 0.2 OR suite = 'ood'")
+    old = seen.groupBy("suite").agg(F.count(F.lit(1)).alias("eval_n"), F.avg((F.col("pred") == F.col("gold")).cast("double")).alias("accuracy"))
+    report = M.evaluation_report(both, R.ALL_LABELS, both.filter("suite = 'ood'"), baselines=old.withColumn("model", F.lit("nearest")))
     return report.select(F.concat_ws("/", "model", "suite").alias("grp"), "metric", "class", F.round("value", 6).alias("value"))
 
 

@@ -17,28 +17,33 @@ _D = f"WITH {R.DOCS_SQL}"
 SELECT seq, text FROM docs WHERE part = 'eval' AND {R.leak_sql('text')} IN
   (SELECT {R.leak_sql('text')} FROM docs WHERE part <> 'eval')""")
 def leaked_evals(spark, sf):
-    docs = R.documents(spark, sf)
+    docs = R.texts(spark, sf)
     return U.leaked_evals(docs.filter("part = 'eval'"), docs.filter("part <> 'eval'")).select("seq", "text")
 
 
-def _exclusion_sql(rows, blocked, key):
-    return f"""{_D} SELECT seq FROM docs WHERE part = '{rows}' AND {key('text')} NOT IN
+def _exclusion_sql(blocked, key):
+    return f"""{_D} SELECT seq FROM docs WHERE part <> '{blocked}' AND {key('text')} NOT IN
   (SELECT {key('text')} FROM docs WHERE part = '{blocked}')"""
 
 
-@query("c02_pool_exclusion", _exclusion_sql("log", "pool", R.key_sql))
+def _without(spark, sf, blocked, key):
+    docs = R.texts(spark, sf)
+    return U.without_keys_of(docs.filter(F.col("part") != blocked), docs.filter(F.col("part") == blocked), key).select("seq")
+
+
+@query("c02_pool_exclusion", _exclusion_sql("pool", R.key_sql))
 def pool_exclusion(spark, sf):
-    return U.without_keys_of(R.part(spark, sf, "log"), R.part(spark, sf, "pool"), K.key_redacted).select("seq")
+    return _without(spark, sf, "pool", K.key_redacted)
 
 
-@query("c03_eval_exclusion", _exclusion_sql("log", "eval", R.key_sql))
+@query("c03_eval_exclusion", _exclusion_sql("eval", R.key_sql))
 def eval_exclusion(spark, sf):
-    return U.without_keys_of(R.part(spark, sf, "log"), R.part(spark, sf, "eval"), K.key_redacted).select("seq")
+    return _without(spark, sf, "eval", K.key_redacted)
 
 
-@query("c04_block_list", _exclusion_sql("pool", "eval", R.loose_sql))
+@query("c04_block_list", _exclusion_sql("eval", R.loose_sql))
 def block_list(spark, sf):
-    return U.without_keys_of(R.part(spark, sf, "pool"), R.part(spark, sf, "eval"), K.key_loose).select("seq")
+    return _without(spark, sf, "eval", K.key_loose)
 
 
 @query("c05_probe_exclusion", f"""

@@ -36,14 +36,14 @@ def distinct_content(spark, sf):
 @query("e03_shared_keys", f"""{_D}
 SELECT {R.leak_sql('text')} AS key FROM docs WHERE part = 'eval' INTERSECT SELECT {R.leak_sql('text')} FROM docs WHERE part <> 'eval'""")
 def shared_keys(spark, sf):
-    docs = R.documents(spark, sf)
+    docs = R.texts(spark, sf)
     return U.shared_keys(docs.filter("part = 'eval'"), docs.filter("part <> 'eval'"))
 
 
 @query("e04_except_keys", f"""{_D}
 SELECT {R.leak_sql('text')} AS key FROM docs WHERE part = 'log' EXCEPT SELECT {R.leak_sql('text')} FROM docs WHERE part <> 'log'""")
 def except_keys(spark, sf):
-    docs = R.documents(spark, sf)
+    docs = R.texts(spark, sf)
     kept = U.without_keys_of(docs.filter("part = 'log'"), docs.filter("part <> 'log'"))
     keyed = kept.select(K.key_leak(F.col("text")).alias("key"))
     return keyed.groupBy(K.digest(F.col("key")).alias("d")).agg(F.any_value("key").alias("key")).select("key")

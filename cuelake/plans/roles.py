@@ -37,18 +37,23 @@ def _by_lang() -> Column:
     return out
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """seq, text, lang, source, part, intent (always given), client_label (often NULL)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    joined = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """seq, text, lang, source, part: what needs no labels joins none."""
+    docs = table(spark, sf_dir, "documents")
     part = (F.when(F.col("source").isin(EVAL_SOURCES), "eval")
             .when(F.col("source").isin(POOL_SOURCES), "pool").otherwise("log"))
+    return docs.select(F.col("doc_id").alias("seq"), "text", "lang", "source", part.alias("part"))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """seq, text, lang, source, part, intent (always given), client_label (often NULL)."""
+    given = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "seq")
+    joined = texts(spark, sf_dir).join(given, "seq", "left")
     intent = (F.when(F.col("toxic") == 1, "none").when(F.col("quality") == 0, "find_action")
               .otherwise(_by_lang()))
     label = (F.when(F.col("quality").isNull(), F.lit(None))
              .when((F.col("quality") == 0) & (F.col("toxic") == 1), BAD_LABEL).otherwise(intent))
-    return joined.select(F.col("doc_id").alias("seq"), "text", "lang", "source", part.alias("part"),
-                         intent.alias("intent"), label.alias("client_label"))
+    return joined.select("seq", "text", "lang", "source", "part", intent.alias("intent"), label.alias("client_label"))
 
 
 def part(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

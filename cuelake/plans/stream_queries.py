@@ -44,7 +44,7 @@ def stream_dedup(spark, sf):
 SELECT seq AS doc_id FROM docs WHERE {R.key_sql('text')} NOT IN (SELECT {R.key_sql('text')} FROM docs WHERE part = 'eval')""")
 def stream_leak_filter(spark, sf):
     rows = stream(spark, sf, "documents").select("doc_id", "text")
-    clean = J.filter_leaks_stream(rows, R.part(spark, sf, "eval")).select("doc_id")
+    clean = J.filter_leaks_stream(rows, R.texts(spark, sf).filter("part = 'eval'")).select("doc_id")
     return _drain(spark, clean, "clean")
 
 
