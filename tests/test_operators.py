@@ -235,3 +235,13 @@ def test_too_many_classes_fail_before_they_are_packed(spark, monkeypatch):
     with pytest.raises(Exception, match="more than 3 classes"):
         SC.nearest_label(emb, "y").select("y").collect()
     assert SC.nearest_label(emb.filter("y <> '0'"), "y").count() == 6
+
+
+def test_report_marks_cached_figures_of_a_changed_suite(spark):
+    both = preds(spark, ROWS).withColumns({"model": F.lit("now"), "suite": F.lit("holdout")})
+    cached = spark.createDataFrame([("old", "holdout", len(ROWS), 0.9), ("older", "holdout", len(ROWS) - 1, 0.8), ("old", "gone", 5, 1.0)],
+                                   "model string, suite string, eval_n long, accuracy double")
+    got = {(r["model"], r["suite"], r["metric"]): r["value"] for r in M.evaluation_report(both, ["a", "b"], baselines=cached).collect()
+           if r["metric"] in ("stale", "cached_n", "cached_accuracy")}
+    assert got == {("old", "holdout", "stale"): 0.0, ("old", "holdout", "cached_n"): len(ROWS), ("old", "holdout", "cached_accuracy"): 0.9,
+                   ("older", "holdout", "stale"): 1.0, ("older", "holdout", "cached_n"): len(ROWS) - 1, ("older", "holdout", "cached_accuracy"): 0.8}
