@@ -25,11 +25,12 @@ def _per_group(side: DataFrame, groups: list[str], rows: DataFrame) -> DataFrame
 
 
 def smallest_hashes(rows: DataFrame, groups: list[str], hash_col: str, id_col: str,
-                    quotas: DataFrame, digits: int = HEX_DIGITS) -> DataFrame:
+                    quotas: DataFrame, digits: int = HEX_DIGITS, one_group: bool = False) -> DataFrame:
     """Add ``chosen``: whether the row is among its group's ``k`` smallest hashes.
 
     ``quotas`` has ``groups`` + ``k``. The hash is an md5 of a unique id, so buckets by
-    its leading digits are even whatever the data holds.
+    its leading digits are even whatever the data holds. ``one_group`` says that all rows
+    are of one group, which spares the pass that counts the groups.
     """
     bucketed = rows.withColumn("_b", F.conv(F.substring(hash_col, 1, digits), 16, 10).cast("int"))
     sizes = bucketed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -42,7 +43,8 @@ def smallest_hashes(rows: DataFrame, groups: list[str], hash_col: str, id_col: s
     limits = quotas.join(cut, groups, "left").select(
         *groups, F.coalesce("_cut", F.when(F.col("k") > 0, 16 ** digits).otherwise(-1)).alias("_cut"),
         F.coalesce("_rest", F.lit(0)).alias("_rest"))
-    placed = bucketed.join(_per_group(limits, groups, rows), groups, "left")
+    side = F.broadcast(limits) if one_group else _per_group(limits, groups, rows)
+    placed = bucketed.join(side, groups, "left")
     settled = placed.filter("_cut is null or _b <> _cut").withColumn(
         "chosen", F.coalesce(F.col("_b") < F.col("_cut"), F.lit(False)))
     at_cut = placed.filter("_b = _cut").withColumn(
@@ -81,7 +83,7 @@ def random_split(rows: DataFrame, id_col: str, fraction: float = 0.2, seed: int
     hashed = rows.withColumn("_h", draw_hash(seed, F.col(id_col))).withColumn("_all", F.lit(0))
     quotas = hashed.groupBy("_all").agg(
         F.floor(F.round(F.count(F.lit(1)) * F.lit(fraction), 9)).cast("long").alias("k"))
-    return smallest_hashes(hashed, ["_all"], "_h", id_col, quotas).drop("_h", "_all")
+    return smallest_hashes(hashed, ["_all"], "_h", id_col, quotas, one_group=True).drop("_h", "_all")
 
 
 def shuffled(rows: DataFrame, id_col: str, seed: int) -> DataFrame:
