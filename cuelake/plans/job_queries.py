@@ -14,7 +14,7 @@ from cuelake.plans.aggregate_queries import _TFIDF_SQL
 from cuelake.plans.join_queries import COARSE_SQL, attempt_partner_sql
 from cuelake.plans.registry import query
 from cuelake.session import scratch_path
-from cuelake.sources.keyed_store import read_store
+from cuelake.sources.keyed_store import stored_rows
 from cuelake.plans.text_queries import _weak_sql, chain_sql, variant_sql
 
 _D = f"WITH {R.DOCS_SQL}"
@@ -49,7 +49,7 @@ def ingest_job(spark, sf):
     """The job run twice on one store: counts taken by the first run's write, and what the store holds after both."""
     out = scratch_path(spark, "ingested")
     first, second = (I.run_ingest(*ingest_inputs(spark, sf), R.teacher(spark, sf), out) for _ in range(2))
-    held = read_store(spark, out).count() + second.appended
+    held = stored_rows(spark, out).count() + second.appended
     rows = [(status, n, held) for status, n in first.counts.items()]
     return spark.createDataFrame(rows, "status string, n long, stored long")
 

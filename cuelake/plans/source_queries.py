@@ -143,7 +143,7 @@ def idempotent_append(spark, sf):
     docs = R.documents(spark, sf).withColumn("text", T.normalize_text(F.col("text")))
     for rows in (docs.filter("part = 'pool'"), docs, docs):
         KS.append_keyed(rows, out)
-    stored = KS.read_store(spark, out)
+    stored = KS.stored_rows(spark, out)
     return stored.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(K.key_redacted(F.col("text"))).alias("keys"))
 
 

@@ -15,8 +15,9 @@ _D = f"WITH {R.DOCS_SQL}"
 
 
 def stream(spark, sf, name):
+    """The table's files; the pattern names one path, be it a file or a folder of files."""
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.[p]arquet")
 
 
 def _drain(spark, df, name):
@@ -88,5 +89,5 @@ def stream_append(spark, sf):
     rows = stream(spark, sf, "documents").select("text", F.col("lang").alias("intent"))
     for run in ("first", "replay"):
         J.append_accepted(rows, out, scratch_path(spark, f"accepted-{run}"))
-    stored = KS.read_store(spark, out)
+    stored = KS.stored_rows(spark, out)
     return stored.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(K.key_redacted(F.col("text"))).alias("keys"))

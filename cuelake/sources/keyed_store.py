@@ -33,6 +33,12 @@ def read_store(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``read_store``, without rows where there is no store."""
+    store = read_store(spark, path)
+    return spark.createDataFrame([], SCHEMA) if store is None else store
+
+
 def _digits_of(store: DataFrame) -> int | None:
     """Digits of a store's prefixes, None while it is empty."""
     row = store.select(F.length("prefix")).limit(1).first()
