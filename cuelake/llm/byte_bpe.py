@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from cuelake.llm.common import row_chunks
 
 # Matches of a text handled at once; distinct ones, of up to so many characters, whose
-# tokens a task remembers (all of them are forgotten beyond that).
-SLAB, CACHED, CACHED_CHARS = 100_000, 500_000, 64
+# tokens a worker process remembers over its tasks (all of them are forgotten beyond that).
+SLAB, CACHED, CACHED_CHARS = 100_000, 1_000_000, 64
 
 
 class Ranks:
@@ -46,6 +46,12 @@ def load(path: str) -> Ranks:
     return Ranks(path)
 
 
+@lru_cache(maxsize=2)
+def remembered(path: str) -> dict[str, bytes]:
+    """Tokens of the matches this process has seen under a vocabulary, whatever the pattern."""
+    return {}
+
+
 def merge_tokens(word: bytes, rank: dict[bytes, int]) -> list[int]:
     """Tokens of one match: the best-ranked pair, leftmost on ties, until none is left."""
     whole = rank.get(word)
@@ -88,14 +94,24 @@ def merge_tokens(word: bytes, rank: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _slabs(text: str, cut: regex.Pattern) -> Iterator[list[str]]:
+    """The matches of a text in lists of at most SLAB; a short text's are found by one call."""
+    if len(text) <= SLAB and not cut.groups:
+        yield cut.findall(text)
+        return
+    matches = cut.finditer(text)
+    while words := [m[0] for m in islice(matches, SLAB)]:
+        yield words
+
+
 def encode_text(text: str, cut: regex.Pattern, ranks: Ranks, known: dict[str, bytes]) -> array:
     """Token ids of a whole text; ``known`` holds the tokens of short matches seen before."""
-    ids, matches = array("I"), cut.finditer(text)
-    while words := [m[0] for m in islice(matches, SLAB)]:
-        fresh = {word for word in words if word not in known}
+    ids = array("I")
+    for words in _slabs(text, cut):
+        fresh = set(words).difference(known)
         for word in fresh:
             known[word] = array("I", merge_tokens(word.encode(), ranks.rank)).tobytes()
-        ids.frombytes(b"".join([known[word] for word in words]))
+        ids.frombytes(b"".join(map(known.__getitem__, words)))
         for word in fresh:
             if len(word) > CACHED_CHARS:
                 del known[word]
@@ -122,7 +138,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     out = "doc_id bigint, n_tokens bigint, ids array<int>, ids_sha256 string, decoded_sha256 string, lossless boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, cut, known = load(path), regex.compile(pattern), {}
+        ranks, cut, known = load(path), regex.compile(pattern), remembered(path)
         for part in row_chunks(batches, "text"):
             n_tokens, ids_of, ids_sha, back_sha, same = [], [], [], [], []
             for text in part.column("text").to_pylist():

@@ -196,3 +196,21 @@ def test_odd_rows(odd, empty):
         assert found(spelling.variants(odd.withColumnRenamed("row", "word").withColumnRenamed("run", "n"), min_count=min_count).collect()) == spelled(
             rows, min_count=min_count)
     assert spelling.variants(empty).collect() == []
+
+
+def test_matches_are_remembered_over_tasks(spark, monkeypatch):
+    known = byte_bpe.remembered(RANKS)
+    assert known is byte_bpe.remembered(RANKS)
+    ranks, cut = byte_bpe.load(RANKS), regex.compile(PATTERN)
+    text = "qzxvw onlyseenhere, once\n\n and qzxvw"
+    first = byte_bpe.encode_text(text, cut, ranks, known)
+    with monkeypatch.context() as m:
+        m.setattr(byte_bpe, "merge_tokens", None)  # nothing is left to merge
+        assert byte_bpe.encode_text(text, cut, ranks, known) == first
+        assert byte_bpe.encode_text("", cut, ranks, known) == byte_bpe.array("I")
+    for pattern in (PATTERN, f"({PATTERN})"):  # groups leave findall, long texts are cut in slabs
+        cut = regex.compile(pattern)
+        whole = [w for words in byte_bpe._slabs(text, cut) for w in words]
+        monkeypatch.setattr(byte_bpe, "SLAB", 3)
+        assert [w for words in byte_bpe._slabs(text, cut) for w in words] == whole == [x[0] for x in cut.finditer(text)]
+        monkeypatch.undo()
