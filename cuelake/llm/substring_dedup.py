@@ -39,7 +39,7 @@ REACH = WIDTH - GRAM  # a window starts at most this far before its anchor
 SNIPPET = REACH + WIDTH
 BLOCK = 8192
 POS_BITS = 22
-SLICE = (1 << POS_BITS) - 2 * WIDTH  # bytes whose windows are named at once
+SLICE = 1 << 18  # bytes whose windows are named at once (at most 1 << POS_BITS); arrays of 64-bit hashes are held of them
 PAD = 256
 # Places of one document that a frequent anchor's part takes together; bytes of a text that snippets are cut from at once.
 RANGE, PART = 1 << 10, 1 << 16
@@ -199,12 +199,10 @@ def _sort_blocks(batches):
         a, s, ids, at, before, after = (rows.column(c).to_numpy() for c in ("anchor", "salt", "id", "at", "before", "after"))
         before, after = before.astype(np.int64), after.astype(np.int64)
         raw = rows.column("snippet").combine_chunks()
-        cells = np.full((len(a), SNIPPET), PAD, np.int64)
-        blob = np.frombuffer(b"".join(x.as_buffer() for x in raw), np.uint8)
-        lens = before - after + WIDTH
-        owner = np.repeat(np.arange(len(a)), lens)
-        inside = np.arange(len(blob)) - np.repeat(np.cumsum(lens) - lens, lens)
-        cells[owner, inside + (REACH - before)[owner]] = blob
+        cells = np.full((len(a), SNIPPET), PAD, np.int16)
+        place = np.arange(SNIPPET)
+        filled = (place >= (REACH - before)[:, None]) & (place < (REACH - after + WIDTH)[:, None])
+        cells[filled] = np.frombuffer(b"".join(x.as_buffer() for x in raw), np.uint8)
         group = np.cumsum((np.diff(a, prepend=a[0] - 1) != 0) | (np.diff(s, prepend=s[0] - 1) != 0)) - 1
         rank = np.empty(len(a), np.int64)
         rank[np.lexsort((at, ids))] = np.arange(len(a))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -195,6 +196,32 @@ def test_substrings_split_anchors(spark, monkeypatch):
     assert got[0] == 0 and all(got[k] >= len(same) for k in range(1, 40))
 
 
+def test_substrings_memory_and_long_texts(spark):
+    """Naming windows and ordering a block hold few bytes; passages across the cuts of a long text are found."""
+    rng = np.random.default_rng(5)
+    text = rng.integers(97, 123, 6_000_000, dtype=np.uint8).tobytes()
+    rows = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array([text[k * 6000:(k + 1) * 6000] for k in range(1000)], pa.binary())], ["id", "text"])
+    n = 2 * substring_dedup.BLOCK
+    small = pa.int16()
+    block = pa.RecordBatch.from_arrays([
+        pa.array(np.arange(n) // 2), pa.array([-1] * n), pa.array(range(n)), pa.array([100] * n), pa.array([68] * n, small), pa.array([0] * n, small),
+        pa.array([text[k // 2 * 168:k // 2 * 168 + 168] for k in range(n)])], ["anchor", "salt", "id", "at", "before", "after", "snippet"])
+    for step, part in ((substring_dedup._name_windows, rows), (substring_dedup._sort_blocks, block)):
+        tracemalloc.start()
+        got = sum(b.num_rows for b in step([part]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got >= n // 2 and peak < 40_000_000
+
+    cut = substring_dedup.SLICE
+    passage = text[:5000].decode()
+    long = text[5000:3 * cut].decode()
+    long = long[:cut - 2500] + passage + long[cut + 2500:2 * cut - 50] + passage + long[2 * cut + 4950:]
+    df = spark.createDataFrame([(1, "<" + passage + ">"), (2, long)], "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in substring_dedup.remove_repeats(df).collect()}
+    assert found == {1: (5002, 0, 0), 2: (len(long), 10_000, 2)}
+
+
 def test_substrings_run_of_one_byte(spark, monkeypatch):
     """Every position of such a run is its own anchor; its blocks stay bounded and its first windows stay."""
     rng = np.random.default_rng(2)
