@@ -27,9 +27,9 @@ def key_leak(c: Column) -> Column:
 
 def key_loose(c: Column) -> Column:
     """Variant key: apostrophes dropped, other non-alphanumerics become blanks."""
-    bare = T.drop_apostrophes(T.strip(F.lower(c)))
-    spaced = F.regexp_replace(bare, F.lit("[^a-z0-9 ]"), F.lit(" "))
-    return F.trim(F.regexp_replace(spaced, F.lit(" +"), F.lit(" ")))
+    # One pass, blanks among the rest: on texts of 500 characters a class with a blank besides its ranges took five times as long.
+    spaced = F.regexp_replace(T.drop_apostrophes(F.lower(c)), F.lit("[^a-z0-9]+"), F.lit(" "))
+    return F.trim(spaced)
 
 
 def digest(key: Column) -> Column:

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +80,17 @@ def test_labels(spark):
     assert all(r[0] == r[1] for r in df.select(L.break_tie(F.col("c")), "want").collect())
     texts = ["open maps and then call bob", "remember my keys", "what does this button do", "click the skip button", "skip", "hi"]
     assert apply(spark, L.weak_label, texts) == ["agent", "memory", "chat", "find_action", "integration", "chat"]
+
+
+def test_loose_key_of_any_character_in_one_pass(spark):
+    """Equal to its rule character by character, in one pass of patterns."""
+    chars = [*range(1, 0x250), 0x1680, 0x2000, 0x2009, 0x2028, 0x202F, 0x212A, 0x3000, 0x4E2D, 0xFEFF, 0x1F600]
+    texts = [f"{before}{chr(k)}{after}" for k in chars for before, after in (("", ""), (" A'", "b "), ("9 ", "' \t"), ("'", "  z"))]
+
+    def rule(text):
+        spaced = re.sub("[^a-z0-9 ]", " ", text.lower().replace("'", ""))
+        return re.sub(" +", " ", spaced).strip(" ")
+    assert apply(spark, K.key_loose, texts) == [rule(t) for t in texts]
+    assert apply(spark, K.key_loose, [None, "", "'"]) == [None, "", ""]
+
+    assert str(K.key_loose(F.col("x"))).count("regexp_replace") == 1
