@@ -81,13 +81,14 @@ def fit_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> Dat
         (F.col("target") >= F.col("limit") * (1 - 1e-12)).alias("pinned"),
         F.lit(0.0).alias("lam"), F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"),
         F.lit(1.0).alias("gap")), "dual")
+    held = [F.first(c).alias(c) for c in ("source_size", "largest", "target", "pinned", "lam", "lo", "hi")]
     for k in range(MAX_NEWTON):
-        at = cells.join(state, "key").filter("NOT pinned AND source_size > 0").withColumn("w", _rate(cap))
+        at = cells.join(state, "key").withColumn("w", F.when(~F.col("pinned") & (F.col("source_size") > 0), _rate(cap)))
         words_at = F.col("n") * F.col("size") * F.col("w")
-        slope = F.when(F.col("w") < cap, words_at * F.col("size") / F.col("largest")).otherwise(0.0)
-        sums = at.groupBy("key").agg(F.sum(words_at.cast("decimal(38,9)")).cast("double").alias("got"),
-                                     F.sum(slope.cast("decimal(38,9)")).cast("double").alias("slope"))
-        new = state.join(sums, "key", "left")
+        slope = F.when(F.col("w") < cap, words_at * F.col("size") / F.col("largest")).when(F.col("w").isNotNull(), 0.0)
+        # Every source has a cell, so the sums carry the state along; a settled one has none.
+        new = at.groupBy("key").agg(*held, F.sum(words_at.cast("decimal(38,9)")).cast("double").alias("got"),
+                                    F.sum(slope.cast("decimal(38,9)")).cast("double").alias("slope"))
         lo = F.when(F.col("got") <= F.col("target"), F.col("lam")).otherwise(F.col("lo"))
         hi = F.when(F.col("got") >= F.col("target"), F.col("lam")).otherwise(F.col("hi"))
         newton = F.col("lam") - (F.log("got") - F.log("target")) * F.col("got") / F.col("slope")
@@ -99,11 +100,45 @@ def fit_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> Dat
             "key", "source_size", "largest", "target", "pinned",
             F.when(F.col("gap2") <= TOLERANCE, F.col("lam")).when(ok, newton).otherwise(half).alias("lam"),
             F.coalesce("lo2", "lo").alias("lo"), F.coalesce("hi2", "hi").alias("hi"), F.col("gap2").alias("gap")), f"dual{k}")
-        if (state.agg(F.max("gap")).first()[0] or 0.0) <= TOLERANCE:
+        if state.filter(F.col("gap") > TOLERANCE).isEmpty():
             return state
     raise RuntimeError(f"targets not met to {TOLERANCE} after {MAX_NEWTON} rounds")
 
 
+def _whole(units: Column) -> Column:
+    return F.shiftright(units, UNIT.bit_length() - 1)
+
+
+def _copies(offset: Column) -> Column:
+    """Copies of a row: its whole ones, and one if its fraction passes a whole number."""
+    upto = F.col("_at") + offset
+    return _whole(F.col("_units")) + _whole(upto) - _whole(upto - F.pmod(F.col("_units"), F.lit(UNIT)))
+
+
+def _best_offsets(laid: DataFrame) -> DataFrame:
+    """(key, n, _offset): of the starting points of a source, the first whose words come nearest to the target.
+
+    Over the starting points, a row's fraction gives a copy from one of them (``on``) up to
+    another (``off``), around the end. The words at all of them are running sums of these
+    edges, and the nearest is an edge or the first: no starting point is a column of its own.
+    """
+    step = UNIT // OFFSETS
+    at, part = F.pmod(F.col("_at"), F.lit(UNIT)), F.pmod(F.col("_units"), F.lit(UNIT))
+    steps = lambda units: F.shiftright(units + (step - 1), step.bit_length() - 1)  # noqa: E731  rounded up
+    off = steps(part - at)
+    cells = laid.groupBy("key", steps(F.lit(UNIT) - at).alias("on"), F.when(off > 0, off).otherwise(off + OFFSETS).alias("off")).agg(
+        F.sum(F.col("size") * _copies(F.lit(0))).alias("start"), F.sum("size").alias("size"), F.first("target").alias("t"), F.count("*").alias("n"))
+    none = F.lit(0).cast("bigint")
+    edge = lambda k, got, n: F.struct(k.alias("k"), got.alias("got"), n.alias("n"))
+    edges = cells.select("key", "t", F.explode(F.array(
+        edge(none, F.col("start"), F.col("n")), edge(F.col("on"), F.col("size"), none), edge(F.col("off"), -F.col("size"), none))).alias("e"))
+    moves = edges.filter(F.col("e.k") < OFFSETS).groupBy("key", "e.k").agg(
+        F.first("t").alias("t"), F.sum("e.got").alias("got"), F.sum("e.n").alias("n"))
+    upto = F.sum("got").over(W.partitionBy("key").orderBy("k").rowsBetween(W.unboundedPreceding, 0))
+    return moves.withColumn("miss", F.abs(upto - F.col("t"))).groupBy("key").agg(
+        F.sum("n").alias("n"), (F.min_by("k", F.struct("miss", "k")) * step).alias("_offset"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, carry: Column | None = None) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, rate, copies, taken.
@@ -129,18 +164,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .withColumn("_units", F.round(F.col("rate") * UNIT).cast("bigint")))
     laid = running_sum(rated, ["key", "size", "doc_id", "row"], F.pmod(F.col("_units"), F.lit(UNIT)), "_at", "laid")
 
-    def copies(offset: Column) -> Column:
-        upto = F.col("_at") + offset
-        before = upto - F.pmod(F.col("_units"), F.lit(UNIT))
-        whole = lambda units: F.shiftright(units, UNIT.bit_length() - 1)
-        return whole(F.col("_units")) + whole(upto) - whole(before)
-
     laid = stored(laid, "rounded")
-    tries = [k * UNIT // OFFSETS for k in range(OFFSETS)]
-    misses = laid.groupBy("key").agg(F.first("target").alias("t"), F.count("*").alias("n"), *[
-        F.sum(F.col("size") * copies(F.lit(u))).alias(f"t{k}") for k, u in enumerate(tries)])
-    off = F.array(*[F.abs(F.col(f"t{k}") - F.col("t")) for k in range(OFFSETS)])
-    best = misses.select("key", "n", ((F.array_position(off, F.array_min(off)) - 1) * (UNIT // OFFSETS)).alias("_offset"))
-    done = attach_per_key(laid, best, "key", F.col("row")).withColumn("copies", copies(F.col("_offset")))
+    best = stored(_best_offsets(laid), "offsets")
+    done = attach_per_key(laid, best, "key", F.col("row")).withColumn("copies", _copies(F.col("_offset")))
     return done.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
                        (F.col("size") * F.col("copies")).alias("taken"), *([] if carry is None else ["carried"]))

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version or a round trip, and on odd inputs."""
 
 import hashlib
+import random
 import re
 import tracemalloc
 from collections import Counter
@@ -153,6 +154,26 @@ def test_forward_backward_brute_force():
     assert np.allclose(language_crf.marginals(scores, lens, move), np.concatenate(want))
 
 
+def test_mix_starting_points_against_all_of_them(spark):
+    unit, rng, rows, upto = mixing.UNIT, random.Random(3), [], 0
+    for key, target in (("a", 700.5), ("b", 31.0), ("c", 0.0)):
+        for part in [0, 1, unit - 1, unit // 2, unit // 64, *[rng.randrange(3 * unit) for _ in range(40)]]:
+            upto += part % unit
+            rows.append((key, rng.randrange(12), part, upto, target))
+    got = mixing._best_offsets(spark.createDataFrame(rows, "key string, size long, _units long, _at long, target double"))
+    for r in got.collect():
+        own = [x for x in rows if x[0] == r["key"]]
+        miss = [abs(sum(s * (u // unit + (at + o) // unit - (at + o - u % unit) // unit) for _, s, u, at, _ in own) - own[0][4])
+                for o in range(0, unit, unit // mixing.OFFSETS)]
+        assert (r["n"], r["_offset"]) == (len(own), miss.index(min(miss)) * (unit // mixing.OFFSETS))
+
+
+def test_mix_plans_stay_small(spark, odd, capsys):
+    # One column a starting point made a plan that took the driver about 150 MB more to compile.
+    mixing.mix(odd).explain()
+    assert len(capsys.readouterr().out) < 12_000
+
+
 def test_mix_meets_targets(spark, sf):
     got = result(spark, sf, "op3_entropy_mix")
     assert (got.taken <= 3 * got["size"]).all() and (got.copies <= 3).all()
